@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import psi_severity
 from tallyloom.operators.quantiles import exact_quantiles, long_values
+from tallyloom.sources.staging import stage
 from tallyloom.settings import PSI_BINS, PSI_EPSILON, PSI_MISSING_SHARE, DriftSettings
 
 
@@ -31,7 +32,8 @@ def feature_psi(
     value; ``'ignore'`` leaves missing values out. Fewer than two distinct edges give 0.
     """
     tagged = df.withColumn("__baseline", baseline)
-    edges = exact_quantiles(tagged.filter("__baseline"), features, [i / bins for i in range(bins + 1)])
+    quantiles = exact_quantiles(tagged.filter("__baseline"), features, [i / bins for i in range(bins + 1)])
+    edges = stage(quantiles, "psi-edges")
     names = [f"q{i}" for i in range(bins + 1)]
     # One row per feature, bounded by the schema.
     values = long_values(tagged, features, ["__baseline"]).join(F.broadcast(edges), "feature")
@@ -40,17 +42,23 @@ def feature_psi(
     below = sum(((value > F.col(n)).cast("int") for n in names), F.lit(0))
     lowest = sum(((F.col(n) <= low).cast("int") for n in names), F.lit(0))
     placed = values.filter(value.between(low, high)).withColumn("__bin", F.greatest(below, lowest))
-    is_base = F.col("__baseline")
-    counts = placed.groupBy("feature").agg(
-        F.count_if(is_base).alias("base_total"),
-        F.count_if(~is_base).alias("current_total"),
-        *[F.count_if(is_base & (F.col("__bin") == i)).alias(f"base{i}") for i in range(1, bins + 1)],
-        *[F.count_if(~is_base & (F.col("__bin") == i)).alias(f"current{i}") for i in range(1, bins + 1)],
+    by_bin = placed.groupBy("feature", "__baseline", "__bin").agg(F.count(F.lit(1)).alias("rows"))
+    is_base, rows = F.col("__baseline"), F.col("rows")
+
+    def rows_of(side: Column, where: Column) -> Column:
+        return F.sum(F.when(side & where, rows).otherwise(0))
+
+    bin_numbers = range(1, bins + 1)
+    counts = by_bin.groupBy("feature").agg(  # at most 2 * bins rows per feature
+        rows_of(is_base, F.lit(True)).alias("base_total"),
+        rows_of(~is_base, F.lit(True)).alias("current_total"),
+        *[rows_of(is_base, F.col("__bin") == i).alias(f"base{i}") for i in bin_numbers],
+        *[rows_of(~is_base, F.col("__bin") == i).alias(f"current{i}") for i in bin_numbers],
     )
     joined = edges.join(F.broadcast(counts), "feature", "left")
 
     def share(side: str, i: int) -> Column:
-        part = F.try_divide(F.coalesce(F.col(f"{side}{i}"), F.lit(0)), F.col(f"{side}_total"))
+        part = F.try_divide(F.col(f"{side}{i}"), F.col(f"{side}_total"))
         return F.coalesce(part, F.lit(PSI_MISSING_SHARE)) + F.lit(PSI_EPSILON)
 
     total = F.lit(0.0)

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.sources.staging import stage
+
 SKETCH_ACCURACY = 10_000
 RANGES = 32
-ALL_VALUES_BELOW = 50_000  # smaller columns are counted value by value
+ALL_VALUES_BELOW = 20_000  # brackets of fewer rows could miss a rank; such columns are counted value by value
 
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -47,63 +49,77 @@ def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
             for i, c in enumerate(columns)
         ]
     )
-    table = stats.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
-    edges = [F.element_at("edges", i + 1).alias(f"edge{i}") for i in range(len(wanted))]
-    return table.select("feature", "n", "missing", *edges)
+    pairs = F.transform(F.sequence(F.lit(1), F.lit(len(wanted)), F.lit(2)), _edge_pair)
+    return stats.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))]))).withColumn("pairs", pairs)
+
+
+def _edge_pair(i: Column) -> Column:
+    return F.struct(F.get("edges", i - 1).alias("lo"), F.get("edges", i).alias("hi"))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Table (feature, n, missing, q0, q1, ...) with linear interpolation between ranks.
 
-    Quantiles are over known values and NULL for a column without any.
+    Quantiles are over known values and NULL for a column without any. The two passes over
+    ``df`` run at once, each into a staged table; the result is read from these.
     """
-    brackets = _brackets(df, columns, probabilities)
-    edges = [f"edge{i}" for i in range(2 * len(probabilities))]
+    brackets = stage(_brackets(df, columns, probabilities), "brackets")
     # One row per column of the table, so the broadcast is bounded by the schema.
     values = long_values(df, columns).join(F.broadcast(brackets), "feature")
-    place = sum(
-        ((F.col("value") > F.col(e)).cast("int") + (F.col("value") >= F.col(e)).cast("int") for e in edges),
-        F.lit(0),
+    value = F.col("value")
+    place = F.aggregate(
+        "edges", F.lit(0), lambda k, e: k + (value > e).cast("int") + (value >= e).cast("int")
     )
-    near = F.col("n") <= ALL_VALUES_BELOW
-    for lo, hi in zip(edges[::2], edges[1::2]):
-        near = near | F.col("value").between(F.col(lo), F.col(hi))
+    bracketed = F.exists("pairs", lambda pair: value.between(pair["lo"], pair["hi"]))
+    near = F.when(F.col("n") <= ALL_VALUES_BELOW, True).otherwise(bracketed)
     counted = (
         values.select("feature", "n", place.alias("place"), F.when(near, F.col("value")).alias("value"))
         .groupBy("feature", "n", "place", "value")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    ranged = _cut_brackets(counted)
+    ranged = _cut_brackets(stage(counted, "value-counts"))
     upto_range = W.partitionBy("feature").orderBy("place", "range")  # (2 * edges + 1) * RANGES rows
     sizes = (
         ranged.groupBy("feature", "n", "place", "range")
         .agg(F.sum("times").alias("rows"))
         .withColumn("before", F.sum("rows").over(upto_range) - F.col("rows"))
     )
-    holds = F.lit(False)
-    for p in probabilities:
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        for rank in (F.floor(position), F.ceil(position)):
-            holds = holds | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("rows")))
-    # At most two ranges per feature and probability.
-    chosen = F.broadcast(sizes.filter(holds).select("feature", "place", "range", "before"))
+    wanted = F.broadcast(_wanted_ranks(brackets, probabilities))  # two rows per probability and feature
+    held = (
+        sizes.join(wanted, "feature")
+        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
+        .select("feature", "place", "range", "before", "number", "position", "rank")
+    )
+    chosen = held.select("feature", "place", "range", "before").distinct()
     upto = W.partitionBy("feature", "place", "range").orderBy("value")
-    ranked = (
-        ranged.join(chosen, ["feature", "place", "range"])
-        .withColumn("last", F.col("before") + F.sum("times").over(upto))
-        .withColumn("first", F.col("last") - F.col("times"))
+    ranked = ranged.join(F.broadcast(chosen), ["feature", "place", "range"]).withColumn(
+        "last", F.col("before") + F.sum("times").over(upto)
+    )
+    hits = ranked.drop("before").join(F.broadcast(held), ["feature", "place", "range"]).filter(
+        (F.col("rank") >= F.col("last") - F.col("times")) & (F.col("rank") < F.col("last"))
+    )
+    ends = hits.groupBy("feature", "number", "position").agg(
+        F.min(F.struct("rank", "value")).alias("lo"), F.max(F.struct("rank", "value")).alias("hi")
+    )
+    outside = F.raise_error("a wanted rank lies outside its bracket")
+    low, high = (F.coalesce(F.col(f"{end}.value"), outside.cast("double")) for end in ("lo", "hi"))
+    value = low + (high - low) * (F.col("position") - F.col("lo.rank"))
+    exact = ends.groupBy("feature").agg(
+        *[F.max(F.when(F.col("number") == i, value)).alias(f"q{i}") for i in range(len(probabilities))]
     )
-    picks, out = [], []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            inside = (rank >= F.col("first")) & (rank < F.col("last"))
-            picks.append(F.max(F.when(inside, F.col("value"))).alias(f"{side}{i}"))
-        out.append(_between(F.col(f"lo{i}"), F.col(f"hi{i}"), position).alias(f"q{i}"))
-    exact = ranked.groupBy("feature", "n").agg(*picks).select("feature", *out)
     return brackets.select("feature", "n", "missing").join(F.broadcast(exact), "feature", "left")
 
 
+def _wanted_ranks(brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Per feature and probability the position and the whole ranks around it."""
+    shares = F.array(*[F.lit(float(p)) for p in probabilities])
+    placed = brackets.select("feature", "n", F.posexplode(shares).alias("number", "share")).withColumn(
+        "position", F.col("share") * (F.col("n") - 1)
+    )
+    ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
+    return placed.select("feature", "number", "position", F.explode(ranks).alias("rank"))
+
+
 def _cut_brackets(counted: DataFrame) -> DataFrame:
     """Number the contiguous ranges of distinct values inside every bracket."""
     quantiles = [i / RANGES for i in range(1, RANGES)]
@@ -117,8 +133,3 @@ def _cut_brackets(counted: DataFrame) -> DataFrame:
     return counted.join(F.broadcast(cuts), ["feature", "place"], "left").select(
         *counted.columns, F.when(F.col("value").isNull(), 0).otherwise(number).alias("range")
     )
-
-
-def _between(low: Column, high: Column, position: Column) -> Column:
-    share = position - F.floor(position)
-    return low + (high - low) * share

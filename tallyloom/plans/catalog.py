@@ -75,15 +75,19 @@ def query(fn: Query) -> Query:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Whole numbers as bigint and doubles at the nearest multiple of 0.0001, for comparison
-    with another engine. The rounding is spelled out because engines round halves differently."""
+    """Whole numbers as bigint; doubles to six decimals and then to single precision.
+
+    Two engines add the same doubles in a different order, so the last bits of a mean differ,
+    and means of amounts in cents often lie on a decimal tie. Single precision has no decimal
+    ties; the six decimals bring sums that cancel to nothing back to 0.
+    """
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.floor(c * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
+            c = (F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).cast("float").cast("double")
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -305,9 +309,10 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- drift
 
 
-def _psi(spark: SparkSession, sf: str) -> DataFrame:
-    sales = baseline_split(retail.sales_table(spark, sf))
-    rows = window_features(_with_external(spark, sf, calendar_features(sales)))
+def _psi(spark: SparkSession, sf: str, sales: DataFrame | None = None) -> DataFrame:
+    """Stability of the panel's columns; ``sales`` may come with its ``period`` already."""
+    tagged = baseline_split(retail.sales_table(spark, sf)) if sales is None else sales
+    rows = window_features(_with_external(spark, sf, calendar_features(tagged)))
     rows = stage(rows.select("period", *PSI_FEATURES), "psi-rows")
     return psi_report(feature_psi(rows, PSI_FEATURES, F.col("period") == "baseline"))
 
@@ -344,6 +349,7 @@ def cusum_per_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The training part holds the first 80 percent of the rows and serves as the baseline."""
     return drift.error_summary(retail.scored(spark, sf), F.col("split") == "train")
 
 
@@ -357,8 +363,11 @@ def mape_drift(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(drift.mape_drift(_errors(spark, sf)).drop("mean_residual"))
 
 
-def _report(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.drift_report(_errors(spark, sf), stage(_psi(spark, sf), "psi"))
+def _report(scored: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    is_baseline = F.col("split") == "train"
+    rows = scored.withColumn("period", F.when(is_baseline, "baseline").otherwise("current"))
+    psi = stage(_psi(spark, sf, rows), "psi")
+    return drift.drift_report(drift.error_summary(scored, is_baseline), psi)
 
 
 def _flat_report(report: DataFrame) -> DataFrame:
@@ -378,20 +387,22 @@ def _flat_report(report: DataFrame) -> DataFrame:
 
 @query
 def drift_action(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_flat_report(_report(spark, sf)))
+    return tidy(_flat_report(_report(retail.scored(spark, sf), spark, sf)))
 
 
 @query
 def json_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    report, path = _report(spark, sf), fresh_folder(spark, "report")
+    report = _report(retail.scored(spark, sf), spark, sf)
+    path = fresh_folder(spark, "report")
     write_json_report(report, path)
     return tidy(_flat_report(read_json_report(spark, path, report.schema)))
 
 
 @query
 def recommendations(spark: SparkSession, sf: str) -> DataFrame:
-    report, stores = stage(_report(spark, sf), "report"), stage(_health(spark, sf), "health")
-    return tidy(drift.recommendations(report, stores))
+    scored = retail.scored(spark, sf)
+    stores = stage(health.store_health(scored.filter(F.col("split") != "train")), "health")
+    return tidy(drift.recommendations(stage(_report(scored, spark, sf), "report"), stores))
 
 
 # ---------------------------------------------------------------- forecast

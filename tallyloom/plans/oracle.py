@@ -18,8 +18,9 @@ ENCODED = ["country", "location_type", "tier", "category", "price_tier"]
 
 
 def r(expression: str, name: str = "") -> str:
-    """Nearest multiple of 0.0001, halves upward, by the same arithmetic as the queries use."""
-    rounded = f"cast(floor(({expression}) * 10000.0::double + 0.5::double) as bigint) / 10000.0::double"
+    """Six decimals, then single precision, by the same arithmetic as the queries use."""
+    millionths = f"cast(floor(({expression}) * 1000000.0::double + 0.5::double) as bigint)"
+    rounded = f"cast(cast({millionths} / 1000000.0::double as float) as double)"
     return f"{rounded} as {name}" if name else rounded
 
 
@@ -415,7 +416,7 @@ FEATURE_COLUMNS = [
 FORECAST_COLUMNS = (
     "date, store_id, brand_id, country, "
     + ", ".join(r(c, c) for c in ("predicted_sales", "lower_bound", "upper_bound"))
-    + ", confidence_level, prediction_type"
+    + f", {r('confidence_level', 'confidence_level')}, prediction_type"
 )
 REPORT_COLUMNS = (
     ", ".join(r(c, c) for c in ("current_mape", "baseline_mape", "cusum_pos", "cusum_neg"))
@@ -484,12 +485,9 @@ ORACLE: dict[str, str] = {
     ),
     "calendar_event_factors": _sql(
         f"""select store_id, date, country,
-              cast(case isodow(date) when 1 then 0.8 when 2 then 0.85 when 3 then 0.9 when 4 then 0.95
-                when 5 then 1.2 when 6 then 1.3 else 1.1 end as double) as weekday_factor,
+              {r("case isodow(date) when 1 then 0.8 when 2 then 0.85 when 3 then 0.9 when 4 then 0.95 when 5 then 1.2 when 6 then 1.3 else 1.1 end", "weekday_factor")},
               {EVENT_FACTORS}, cast(case when {NATIONAL} then 1 else 0 end as bigint) as is_national_day,
-              cast(case when month(date) in (3, 4) then 1.5 else 1 end
-                * case when month(date) = 11 and day(date) between 20 and 29 then 2.0 else 1 end
-                * case when {NATIONAL} then 1.8 else 1 end as double) as event_factor
+              {r(f"case when month(date) in (3, 4) then 1.5 else 1 end * case when month(date) = 11 and day(date) between 20 and 29 then 2.0 else 1 end * case when {NATIONAL} then 1.8 else 1 end", "event_factor")}
             from panel""",
         "panel",
     ),
@@ -666,7 +664,7 @@ select cast(row_number()""",
               {n('s.store_size_sqm', 'store_size_sqm')}, h.num_transactions,
               {r('h.avg_transaction_value', 'avg_transaction_value')},
               {n('coalesce(b.avg_price_point, 500)', 'avg_price_point')},
-              {', '.join(f"cast({v} as {'double' if isinstance(v, float) else 'bigint'}) as {k}" for k, v in FUTURE_EXTERNALS.items())},
+              {', '.join(f"{r(str(v), k) if isinstance(v, float) else n(str(v), k)}" for k, v in FUTURE_EXTERNALS.items())},
               0::bigint as promotion_flag, 0.0::double as promotion_discount,
               {n('isodow(f.date) - 1', 'day_of_week')},
               {n('make_date(year(f.date) + case when f.date > make_date(year(f.date), 1, 1) then 1 else 0 end, 1, 1) - f.date', 'days_to_new_year')}
