@@ -33,15 +33,15 @@ def feature_psi(
     """
     tagged = df.withColumn("__baseline", baseline)
     quantiles = exact_quantiles(tagged.filter("__baseline"), features, [i / bins for i in range(bins + 1)])
-    edges = stage(quantiles, "psi-edges")
+    first_bin = sum(((F.col(f"q{i}") <= F.col("q0")).cast("int") for i in range(bins + 1)), F.lit(0))
+    edges = stage(quantiles.withColumn("first_bin", first_bin), "psi-edges")
     names = [f"q{i}" for i in range(bins + 1)]
     # One row per feature, bounded by the schema.
     values = long_values(tagged, features, ["__baseline"]).join(F.broadcast(edges), "feature")
     low, high = F.col(names[0]), F.col(names[-1])
     value = F.col("value")
     below = sum(((value > F.col(n)).cast("int") for n in names), F.lit(0))
-    lowest = sum(((F.col(n) <= low).cast("int") for n in names), F.lit(0))
-    placed = values.filter(value.between(low, high)).withColumn("__bin", F.greatest(below, lowest))
+    placed = values.filter(value.between(low, high)).withColumn("__bin", F.greatest(below, F.col("first_bin")))
     by_bin = placed.groupBy("feature", "__baseline", "__bin").agg(F.count(F.lit(1)).alias("rows"))
     is_base, rows = F.col("__baseline"), F.col("rows")
 

@@ -49,12 +49,28 @@ def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
             for i, c in enumerate(columns)
         ]
     )
-    pairs = F.transform(F.sequence(F.lit(1), F.lit(len(wanted)), F.lit(2)), _edge_pair)
-    return stats.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))]))).withColumn("pairs", pairs)
-
-
-def _edge_pair(i: Column) -> Column:
-    return F.struct(F.get("edges", i - 1).alias("lo"), F.get("edges", i).alias("hi"))
+    table = stats.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
+    gaps = F.transform(
+        F.sequence(F.lit(0), F.lit(len(wanted) - 2)),
+        lambda g: F.exists(
+            F.sequence(F.lit(0), F.lit(len(wanted) - 2), F.lit(2)),
+            lambda i: (F.get("edges", i) <= F.get("sorted", g))
+            & (F.get("edges", i + F.lit(1)) >= F.get("sorted", g + F.lit(1))),
+        ),
+    )
+    table = table.withColumn("sorted", F.array_sort("edges")).withColumn("bracketed", gaps)
+    edges = [F.get("sorted", F.lit(i)).alias(f"edge{i}") for i in range(len(wanted))]
+    return table.select("feature", "n", "missing", "bracketed", *edges)
+
+
+def _edges_below(value: Column, first: int, last: int) -> Column:
+    """How many of the sorted edge columns first..last-1 lie below the value, by halving."""
+    if first == last:
+        return F.lit(first)
+    middle = (first + last) // 2
+    return F.when(value > F.col(f"edge{middle}"), _edges_below(value, middle + 1, last)).otherwise(
+        _edges_below(value, first, middle)
+    )
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -67,13 +83,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     # One row per column of the table, so the broadcast is bounded by the schema.
     values = long_values(df, columns).join(F.broadcast(brackets), "feature")
     value = F.col("value")
-    place = F.aggregate(
-        "edges", F.lit(0), lambda k, e: k + (value > e).cast("int") + (value >= e).cast("int")
-    )
-    bracketed = F.exists("pairs", lambda pair: value.between(pair["lo"], pair["hi"]))
-    near = F.when(F.col("n") <= ALL_VALUES_BELOW, True).otherwise(bracketed)
+    edges = [f"edge{i}" for i in range(2 * len(probabilities))]
+    placed = values.withColumn("below", _edges_below(value, 0, len(edges)))
+    on_edge = F.coalesce(value.isin(*[F.col(e) for e in edges]), F.lit(False))
+    inside = F.coalesce(F.get("bracketed", F.greatest(F.col("below") - 1, F.lit(0))), F.lit(False))
+    near = (F.col("n") <= ALL_VALUES_BELOW) | on_edge | ((F.col("below") > 0) & inside)
+    place = 2 * F.col("below") + on_edge.cast("int")
     counted = (
-        values.select("feature", "n", place.alias("place"), F.when(near, F.col("value")).alias("value"))
+        placed.select("feature", "n", place.alias("place"), F.when(near, F.col("value")).alias("value"))
         .groupBy("feature", "n", "place", "value")
         .agg(F.count(F.lit(1)).alias("times"))
     )

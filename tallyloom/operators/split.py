@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import nth_key
 from tallyloom.settings import BASELINE_RATIO, SplitSettings
+from tallyloom.sources.staging import stage
 
 
 def cut_rows(df: DataFrame, shares: Sequence[float], date: str = "date", tie: str = "store_id") -> DataFrame:
@@ -38,9 +39,9 @@ def cut_rows(df: DataFrame, shares: Sequence[float], date: str = "date", tie: st
         .filter((F.col("__at") < F.col("__upto")) & (F.col("__at") >= F.col("__upto") - F.col("__rows")))
         .select("cut", date, (F.col("__at") - F.col("__upto") + F.col("__rows")).alias("__offset"))
     )
-    # One row per cut: the day it falls into.
+    # `days` has one row per cut. Only keys of these days go on, and they are read three times.
     candidates = df.select(date, tie).join(F.broadcast(days), date)
-    return nth_key(candidates, ["cut", date], tie, "__offset", "cut_key").select(
+    return nth_key(stage(candidates, "cut-days"), ["cut", date], tie, "__offset", "cut_key").select(
         "cut", F.col(date).alias("cut_date"), "cut_key"
     )
 
