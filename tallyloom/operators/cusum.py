@@ -17,9 +17,15 @@ from tallyloom.functions.rules import cusum_direction, cusum_drift
 from tallyloom.settings import CUSUM_SLACK, CUSUM_THRESHOLD
 
 
+def settled(total: Column) -> Column:
+    """A sum without the noise of running totals, for comparison with a threshold: a sum that
+    equals the threshold does not exceed it."""
+    return F.round(total, 9)
+
+
 def cusum_flags(df: DataFrame, threshold: float = CUSUM_THRESHOLD) -> DataFrame:
     """Add drift_detected and direction to cusum_pos and cusum_neg."""
-    pos, neg = F.col("cusum_pos"), F.col("cusum_neg")
+    pos, neg = settled(F.col("cusum_pos")), settled(F.col("cusum_neg"))
     return df.withColumns(
         {"drift_detected": cusum_drift(pos, neg, threshold), "direction": cusum_direction(pos, neg)}
     )
@@ -76,7 +82,8 @@ def cusum_series_in_blocks(
 ) -> DataFrame:
     """The same series for keys of any length, one task per (key, block) instead of per key.
 
-    ``block`` must not decrease in the order (an hour, a day). Every block runs from zero;
+    ``block`` must not decrease in the order (an hour, a minute); choose it so fine that one
+    block of the busiest key fits a task. Every block runs from zero;
     a block turns an incoming sum s into max(end, s + total), so the sums that enter the
     blocks follow from one row per block, and rows are then shifted by what entered.
     The rows are shuffled once, by (key, block).

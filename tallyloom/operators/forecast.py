@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.calendar import calendar_features
@@ -19,6 +19,7 @@ from tallyloom.settings import (
     WINDOWS,
     ForecastSettings,
 )
+from tallyloom.sources.staging import stage
 
 
 def store_history(history: DataFrame, store: str = "store_id") -> DataFrame:
@@ -37,16 +38,17 @@ def history_windows(
     target: str = "sales_amount",
     lags: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
+    since: Column | None = None,
 ) -> DataFrame:
     """Calendar lags and window statistics of ``history`` for the rows of ``spine``.
 
     Spine and history are stacked and read through range frames, instead of a range join
     that would repeat every history row per window. Only history within reach of the
-    first spine day is read.
+    first spine day is read; pass the earliest such day as ``since`` where it is known.
     """
-    reach = max([*lags, *windows])
-    first = spine.agg(F.min(date)).scalar()
-    recent = history.filter(F.col(date) >= F.date_sub(first, reach))
+    if since is None:
+        since = spine.agg(F.date_sub(F.min(date), max([*lags, *windows]))).scalar()
+    recent = history.filter(F.col(date) >= since)
     stacked = spine.select(store, date, F.lit(None).cast("double").alias(target), F.lit(True).alias("__new"))
     stacked = stacked.unionByName(recent.select(store, date, target, F.lit(False).alias("__new")))
     windowed = calendar_window_features(stacked, [store], date, target, lags, windows)
@@ -75,9 +77,12 @@ def forecast_features(
     known = stores.select(store, "brand_id", "country", "store_size_sqm").dropDuplicates([store])
     known = known.join(averages, store)  # the inner join also drops stores without history
     known = lookup_or(known, brands, "brand_id", "avg_price_point", DEFAULT_PRICE_POINT)
+    # One row per store. Staged, the means over all history are taken once, not per use.
+    known = stage(known, "forecast-stores")
     end = last_date(history, date)
-    keys = future_spine(averages, end, horizon_days, [store], date)
-    windowed = history_windows(keys, history, store, date, target, lags, windows)
+    keys = future_spine(known, end, horizon_days, [store], date)
+    since = last_date(history, date, 1 - max([*lags, *windows]))
+    windowed = history_windows(keys, history, store, date, target, lags, windows, since)
     rows = calendar_features(windowed.join(known, store), date)
     constants = {**externals, "promotion_flag": 0, "promotion_discount": 0.0}
     return rows.withColumns({c: F.lit(v) for c, v in constants.items()})

@@ -36,9 +36,10 @@ def densify(
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 
-def last_date(history: DataFrame, date: str = "date") -> Column:
-    """Latest date of a table, as a scalar subquery."""
-    return history.agg(F.max(date)).scalar()
+def last_date(history: DataFrame, date: str = "date", shift_days: int = 0) -> Column:
+    """Latest date of a table, moved by some days, as a scalar subquery. The move is part of the
+    subquery, so that a filter compares with a plain value and reaches the file scan."""
+    return history.agg(F.date_add(F.max(date), shift_days)).scalar()
 
 
 def future_dates(after: Column, horizon_days: int) -> Column:

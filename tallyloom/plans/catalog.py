@@ -38,7 +38,7 @@ from tallyloom.operators.windows import (
 from tallyloom.plans import retail
 from tallyloom.plans.features import ENCODED, attributed, build_features
 from tallyloom.schemas import FORECASTS, with_types
-from tallyloom.settings import ModelSettings
+from tallyloom.settings import LAGS, ModelSettings
 from tallyloom.sources.staging import checkpoint_root, stage
 from tallyloom.sources.tables import (
     read_csv_table,
@@ -429,7 +429,7 @@ def _history_rows(spark: SparkSession, sf: str) -> DataFrame:
     history = retail.sales_table(spark, sf).select("store_id", "date", "sales_amount")
     stores = with_history(retail.store_dim(spark, sf), history)
     spine = future_spine(stores, last_date(history), HORIZON, ["store_id"])
-    return forecast.history_windows(spine, history)
+    return forecast.history_windows(spine, history, since=last_date(history, shift_days=1 - max(LAGS)))
 
 
 @query

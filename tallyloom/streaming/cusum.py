@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallyloom.functions.rules import cusum_direction, cusum_drift
+from tallyloom.operators.cusum import settled
 from tallyloom.settings import CUSUM_SLACK, CUSUM_THRESHOLD
 
 _STATE = T.StructType(
@@ -97,7 +99,7 @@ def stream_cusum(
         {
             "cusum_pos": pos,
             "cusum_neg": neg,
-            "drift_detected": (F.abs(pos) > threshold) | (F.abs(neg) > threshold),
-            "direction": F.when(pos > F.abs(neg), "positive").when(pos.isNotNull(), "negative"),
+            "drift_detected": cusum_drift(settled(pos), settled(neg), threshold),
+            "direction": F.when(pos.isNotNull(), cusum_direction(settled(pos), settled(neg))),
         }
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.adapter import compare_models
 from tallyloom.operators.forecast import history_windows
 from tallyloom.operators.health import store_health
-from tallyloom.operators.panel import future_spine
+from tallyloom.operators.panel import future_spine, last_date
 from tallyloom.operators.windows import calendar_window_features, window_features
 from tallyloom.plans import retail
 from tallyloom.plans.features import build_features
@@ -59,10 +59,12 @@ def test_feature_table_has_one_fact_shuffle_and_no_python(spark, tiny, sales, ca
 
 
 def test_forecast_history_is_filtered_at_the_scan(sales, capsys):
-    spine = future_spine(sales.select("store_id").distinct(), F.lit("2001-11-04").cast("date"), 30, ["store_id"])
-    plan = plan_of(history_windows(spine, sales), capsys)
+    end = last_date(sales)
+    spine = future_spine(sales.select("store_id").distinct(), end, 30, ["store_id"])
+    rows = history_windows(spine, sales, since=last_date(sales, shift_days=-364))
+    plan = plan_of(rows, capsys)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert re.search(r"DataFilters: \[isnotnull\(date", plan)
+    assert re.search(r"DataFilters: \[isnotnull\(date#\d+\), \(date#\d+ >= Subquery", plan)
 
 
 def test_panel_sums_lines_before_it_joins(spark, tiny, capsys):
