@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontamination, minhash_forest, mixing, quality_rules, sharding
+from tallyloom.llm import (
+    decontamination,
+    language_id,
+    minhash_forest,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,6 +49,16 @@ def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
