@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.llm import (
     decontamination,
     language_id,
+    line_dedup,
+    lm_scoring,
     minhash_forest,
     mixing,
+    pii,
     quality_model,
     quality_rules,
     sharding,
@@ -29,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
@@ -44,6 +52,12 @@ def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.without_boilerplate(docs).drop("source")
+
+
 @query
 def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -59,6 +73,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
