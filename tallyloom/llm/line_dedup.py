@@ -55,14 +55,15 @@ def boilerplate(sites: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """Columns of ``docs`` with the text cut, and n_lines, n_removed.
 
-    Every occurrence of a boilerplate line goes; blank lines stay. NULL texts stay NULL. Repeated
+    Columns of those names in ``docs`` give way. Every occurrence of a boilerplate line goes; blank lines stay. NULL texts stay NULL. Repeated
     rows are treated each; no rows give no rows. Few boilerplate lines are broadcast, many are
     joined by a shuffle; rows are put together again by a row number, within their own order.
     """
     sites = stage(line_sites(docs, site), "line-sites")
     found = stage(boilerplate(sites, min_sites).select(F.col("hash").alias("_bad")), "boilerplate")
     few = found.count() <= FEW_LINES
-    columns = [c for c in docs.columns if c != "text"]
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = [c for c in names if c != "text"]
     # numbered before the texts are split
     numbered = docs.select(
         F.monotonically_increasing_id().alias("_row"),
@@ -82,7 +83,7 @@ def without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int =
     return texts.select(
         *[
             F.when(~F.col("_doc._none"), text).alias(c) if c == "text" else F.col(f"_doc.`{c}`").alias(c)
-            for c in docs.columns
+            for c in names
         ],
         "n_lines",
         "n_removed",

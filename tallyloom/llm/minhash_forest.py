@@ -286,3 +286,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return labelled.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the smallest id, once.
+
+    Of rows that share an id one stays; rows without id stay.
+    """
+    decided = stage(near_duplicates(docs).select(F.col("doc_id").alias("_id"), "kept"), "decided")
+    gone = decided.where(~F.col("kept")).select("_id").distinct()
+    again = decided.where(F.col("kept") & F.col("_id").isNotNull()).groupBy("_id").agg(F.count(F.lit(1)).alias("n"))
+    again = stage(again.where("n > 1").select("_id"), "repeated")
+    out = stage(gone.unionAll(again).distinct(), "gone")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("long").alias("_key"))
+
+    def sized(ids):
+        return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+    left = rows.join(sized(out), F.col("_key") == F.col("_id"), "left_anti").select("_doc")
+    twice = rows.join(sized(again), F.col("_key") == F.col("_id"), "left_semi")
+    first = twice.groupBy("_key").agg(F.first("_doc").alias("_doc")).select("_doc")
+    return left.unionAll(first).select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

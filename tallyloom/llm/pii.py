@@ -220,13 +220,14 @@ def assignments(mentions: DataFrame, key: bytes) -> DataFrame:
 def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     """Columns of ``docs`` with surrogates in the text, and n_entities (mentions replaced).
 
-    A NULL text stays NULL with 0 entities, repeated rows come out alike, no rows give no rows.
+    A column n_entities of ``docs`` gives way. A NULL text stays NULL with 0 entities, repeated rows come out alike, no rows give no rows.
     """
     table = assignments(stage(entities(docs), "mentions"), key)
     # gender can't be read off a single mention, so named entities with one are looked up as well
     special = table.where("attempt > 0 or kind = 'name'").select("kind", "entity", "gender", "attempt")
     few = special.count() <= FEW_REDRAWN
-    columns, names = docs.columns, [c for c in docs.columns if c != "text"]
+    columns = [c for c in docs.columns if c != "n_entities"]
+    names = [c for c in columns if c != "text"]
     rest = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.lit(None)
 
     if few:
