@@ -154,4 +154,6 @@ def rule_digest(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def passing(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with their own columns."""
     rows = judged(docs.select(F.struct("*").alias("_doc"), "doc_id", "text"), labels, **options)
-    return rows.where("kept").select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    # not a filter: that would be moved below the measures and repeat them inside its lambdas
+    kept = rows.select(F.explode(F.when(F.col("kept"), F.array("_doc"))).alias("_doc"))
+    return kept.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
