@@ -1,10 +1,8 @@
 """Exact quantiles of many columns with bounded memory.
 
-Pass one takes an approximate sketch of every column. Its rank error is bounded, so
-two sketch values around a wanted rank enclose the exact order statistic. Pass two
-counts single values only inside these narrow brackets and whole stretches outside
-them. The brackets are cut once more into ranges, and only the ranges that hold a
-wanted rank are sorted, each in its own task. The result is exact at any size.
+Values are counted per column (combined before the shuffle), dealt once into ranges of (column,
+value) and written. The rows per range tell which ranges hold a wanted rank; only these are read
+again and ranked, each range in a task of its own. One path for every size, exact at any.
 """
 
 from __future__ import annotations
@@ -17,10 +15,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.staging import stage
 
-SKETCH_ACCURACY = 10_000
-RANGES = 32
-ALL_VALUES_BELOW = 20_000  # brackets of fewer rows could miss a rank; such columns are counted value by value
-
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value) with one row per column and known value."""
@@ -29,48 +23,16 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def _brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """One row per feature: number of known values, number of missing ones, bracket edges."""
-    margin = 2.0 / SKETCH_ACCURACY
-    wanted = [q for p in probabilities for q in (max(0.0, p - margin), min(1.0, p + margin))]
+def _known_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, n, missing): known and missing values, one row per column."""
 
-    def known(c: str) -> Column:
+    def entry(c: str) -> Column:
         value = F.col(c).cast("double")
-        return F.when(~F.isnan(value), value)
-
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.count(known(c)).alias("n"),
-                (F.count(F.lit(1)) - F.count(known(c))).alias("missing"),
-                F.percentile_approx(known(c), wanted, SKETCH_ACCURACY).alias("edges"),
-            ).alias(f"__{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
-    table = stats.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
-    gaps = F.transform(
-        F.sequence(F.lit(0), F.lit(len(wanted) - 2)),
-        lambda g: F.exists(
-            F.sequence(F.lit(0), F.lit(len(wanted) - 2), F.lit(2)),
-            lambda i: (F.get("edges", i) <= F.get("sorted", g))
-            & (F.get("edges", i + F.lit(1)) >= F.get("sorted", g + F.lit(1))),
-        ),
-    )
-    table = table.withColumn("sorted", F.array_sort("edges")).withColumn("bracketed", gaps)
-    edges = [F.get("sorted", F.lit(i)).alias(f"edge{i}") for i in range(len(wanted))]
-    return table.select("feature", "n", "missing", "bracketed", *edges)
-
-
-def _edges_below(value: Column, first: int, last: int) -> Column:
-    """How many of the sorted edge columns first..last-1 lie below the value, by halving."""
-    if first == last:
-        return F.lit(first)
-    middle = (first + last) // 2
-    return F.when(value > F.col(f"edge{middle}"), _edges_below(value, middle + 1, last)).otherwise(
-        _edges_below(value, first, middle)
-    )
+        known = F.count(F.when(~F.isnan(value), value))
+        return F.struct(F.lit(c).alias("feature"), known.alias("n"), (F.count(F.lit(1)) - known).alias("missing"))
+
+    counts = df.agg(*[entry(c).alias(f"__{i}") for i, c in enumerate(columns)])
+    return counts.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -79,74 +41,48 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     Quantiles are over known values and NULL for a column without any. The two passes over
     ``df`` run at once, each into a staged table; the result is read from these.
     """
-    brackets = stage(_brackets(df, columns, probabilities), "brackets")
-    # One row per column of the table, so the broadcast is bounded by the schema.
-    values = long_values(df, columns).join(F.broadcast(brackets), "feature")
-    value = F.col("value")
-    edges = [f"edge{i}" for i in range(2 * len(probabilities))]
-    placed = values.withColumn("below", _edges_below(value, 0, len(edges)))
-    on_edge = F.coalesce(value.isin(*[F.col(e) for e in edges]), F.lit(False))
-    inside = F.coalesce(F.get("bracketed", F.greatest(F.col("below") - 1, F.lit(0))), F.lit(False))
-    near = (F.col("n") <= ALL_VALUES_BELOW) | on_edge | ((F.col("below") > 0) & inside)
-    place = 2 * F.col("below") + on_edge.cast("int")
-    counted = (
-        placed.select("feature", "n", place.alias("place"), F.when(near, F.col("value")).alias("value"))
-        .groupBy("feature", "n", "place", "value")
-        .agg(F.count(F.lit(1)).alias("times"))
+    known = stage(_known_counts(df, columns), "known-counts")
+    counted = long_values(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("times"))
+    ranged = stage(
+        counted.repartitionByRange("feature", "value").withColumn("range", F.spark_partition_id()), "value-counts"
     )
-    ranged = _cut_brackets(stage(counted, "value-counts"))
-    upto_range = W.partitionBy("feature").orderBy("place", "range")  # (2 * edges + 1) * RANGES rows
+    upto_range = W.partitionBy("feature").orderBy("range")  # one row per range and feature
     sizes = (
-        ranged.groupBy("feature", "n", "place", "range")
+        ranged.groupBy("feature", "range")
         .agg(F.sum("times").alias("rows"))
         .withColumn("before", F.sum("rows").over(upto_range) - F.col("rows"))
     )
-    wanted = F.broadcast(_wanted_ranks(brackets, probabilities))  # two rows per probability and feature
+    # two rows per probability and feature
+    wanted = F.broadcast(_wanted_ranks(known, probabilities))
     held = (
         sizes.join(wanted, "feature")
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .select("feature", "place", "range", "before", "number", "position", "rank")
+        .select("feature", "range", "before", "number", "position", "rank")
     )
-    chosen = held.select("feature", "place", "range", "before").distinct()
-    upto = W.partitionBy("feature", "place", "range").orderBy("value")
-    ranked = ranged.join(F.broadcast(chosen), ["feature", "place", "range"]).withColumn(
+    chosen = held.select("feature", "range", "before").distinct()
+    upto = W.partitionBy("feature", "range").orderBy("value")
+    ranked = ranged.join(F.broadcast(chosen), ["feature", "range"]).withColumn(
         "last", F.col("before") + F.sum("times").over(upto)
     )
-    hits = ranked.drop("before").join(F.broadcast(held), ["feature", "place", "range"]).filter(
+    hits = ranked.drop("before").join(F.broadcast(held), ["feature", "range"]).filter(
         (F.col("rank") >= F.col("last") - F.col("times")) & (F.col("rank") < F.col("last"))
     )
     ends = hits.groupBy("feature", "number", "position").agg(
         F.min(F.struct("rank", "value")).alias("lo"), F.max(F.struct("rank", "value")).alias("hi")
     )
-    outside = F.raise_error("a wanted rank lies outside its bracket")
-    low, high = (F.coalesce(F.col(f"{end}.value"), outside.cast("double")) for end in ("lo", "hi"))
+    low, high = F.col("lo.value"), F.col("hi.value")
     value = low + (high - low) * (F.col("position") - F.col("lo.rank"))
     exact = ends.groupBy("feature").agg(
         *[F.max(F.when(F.col("number") == i, value)).alias(f"q{i}") for i in range(len(probabilities))]
     )
-    return brackets.select("feature", "n", "missing").join(F.broadcast(exact), "feature", "left")
+    return known.join(F.broadcast(exact), "feature", "left")
 
 
-def _wanted_ranks(brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+def _wanted_ranks(known: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Per feature and probability the position and the whole ranks around it."""
     shares = F.array(*[F.lit(float(p)) for p in probabilities])
-    placed = brackets.select("feature", "n", F.posexplode(shares).alias("number", "share")).withColumn(
+    placed = known.select("feature", F.posexplode(shares).alias("number", "share"), "n").withColumn(
         "position", F.col("share") * (F.col("n") - 1)
     )
     ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
     return placed.select("feature", "number", "position", F.explode(ranks).alias("rank"))
-
-
-def _cut_brackets(counted: DataFrame) -> DataFrame:
-    """Number the contiguous ranges of distinct values inside every bracket."""
-    quantiles = [i / RANGES for i in range(1, RANGES)]
-    cuts = (
-        counted.filter(F.col("value").isNotNull())
-        .groupBy("feature", "place")
-        .agg(F.percentile_approx("value", quantiles, 8 * RANGES).alias("cuts"))
-    )
-    # (2 * edges + 1) rows of RANGES numbers per feature.
-    number = F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    return counted.join(F.broadcast(cuts), ["feature", "place"], "left").select(
-        *counted.columns, F.when(F.col("value").isNull(), 0).otherwise(number).alias("range")
-    )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +36,7 @@ from tallyloom.operators.windows import (
     window_features,
 )
 from tallyloom.plans import retail
-from tallyloom.plans.features import ENCODED, attributed, build_features
+from tallyloom.plans.features import ENCODED, SALES_COLUMNS, attributed, build_features
 from tallyloom.schemas import FORECASTS, with_types
 from tallyloom.settings import LAGS, ModelSettings
 from tallyloom.sources.staging import checkpoint_root, stage
@@ -56,11 +56,6 @@ HORIZON = 30
 REGION_DAYS = {"ASIA": (12, 2), "EUROPE": (9, 23)}
 # Adapter threshold of the forecast queries, between the shortest and longest histories.
 FORECAST_MODEL = ModelSettings(min_adapter_rows=420)
-PSI_FEATURES = [
-    "sales_amount", "num_transactions", "avg_transaction_value", "promotion_flag",
-    "promotion_discount", "day_of_week", "month", "year", "days_to_new_year", "month_sin",
-    "order_count", "demand_index", "sales_amount_rolling_mean_7d", "sales_amount_lag_7d",
-]
 MODEL_INPUTS = [
     "num_transactions", "promotion_flag", "promotion_discount", "is_weekend", "month_sin",
     "month_cos", "store_size_sqm", "avg_price_point", "sales_amount_lag_7d",
@@ -74,20 +69,35 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def tidy(df: DataFrame) -> DataFrame:
-    """Whole numbers as bigint; doubles to six decimals and then to single precision.
+# Inputs of the panel, exact in both engines.
+EXACT = ("sales_amount", "avg_transaction_value", "promotion_discount")
+
+
+def settled(c: Column) -> Column:
+    """A derived double to four decimals, from 10,000 on to eight digits. NaN stays NaN.
 
-    Two engines add the same doubles in a different order, so the last bits of a mean differ,
-    and means of amounts in cents often lie on a decimal tie. Single precision has no decimal
-    ties; the six decimals bring sums that cancel to nothing back to 0.
+    Two engines add the same doubles in a different order, so the last bits of a mean differ.
+    Means of amounts in cents often lie on a decimal tie, so all values are moved by a little
+    that is no multiple of a tie before they are rounded.
     """
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - 3)
+    return (
+        F.when(F.abs(c) < 5.3e-5, F.lit(0.0))
+        .when(F.abs(c) < 10_000, F.round(c + F.lit(2.7182818e-6), 4))
+        .when(F.isnan(c) | (F.abs(c) == float("inf")), c)
+        .otherwise(F.round(c / scale + F.lit(2.7182818e-6), 4) * scale)
+    )
+
+
+def tidy(df: DataFrame, exact: Sequence[str] = EXACT) -> DataFrame:
+    """Whole numbers as bigint, inputs (``exact``) unchanged, derived doubles settled."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = (F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).cast("float").cast("double")
+            c = c.cast("double") if f.name in exact else settled(c.cast("double"))
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -310,11 +320,17 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _psi(spark: SparkSession, sf: str, sales: DataFrame | None = None) -> DataFrame:
-    """Stability of the panel's columns; ``sales`` may come with its ``period`` already."""
+    """Stability of every numeric feature; ``sales`` may come with its ``period`` already."""
     tagged = baseline_split(retail.sales_table(spark, sf)) if sales is None else sales
-    rows = window_features(_with_external(spark, sf, calendar_features(tagged)))
-    rows = stage(rows.select("period", *PSI_FEATURES), "psi-rows")
-    return psi_report(feature_psi(rows, PSI_FEATURES, F.col("period") == "baseline"))
+    features = build_features(
+        tagged.select(*SALES_COLUMNS, "period"),
+        stage(retail.store_dim(spark, sf), "stores"),
+        retail.brand_dim(spark, sf),
+        stage(retail.external(spark, sf), "external"),
+    )
+    names = quality.numeric_columns(features, exclude=["store_id"])
+    rows = stage(features.select("period", *names), "psi-rows")
+    return psi_report(feature_psi(rows, names, F.col("period") == "baseline"))
 
 
 @query
@@ -453,7 +469,7 @@ def _future_rows(spark: SparkSession, sf: str, history: DataFrame) -> DataFrame:
 def forecast_features(spark: SparkSession, sf: str) -> DataFrame:
     rows = _future_rows(spark, sf, retail.sales_table(spark, sf))
     names = [c for c in rows.columns if c not in CALENDAR_COLUMNS]
-    return tidy(rows.select(*names, "day_of_week", "days_to_new_year"))
+    return tidy(rows.select(*names, "day_of_week", "days_to_new_year"), exact=())
 
 
 def _forecasts(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ ones a query needs in front of it.
 from __future__ import annotations
 
 from tallyloom.operators.drift import ADVICE
-from tallyloom.plans.catalog import FORECAST_MODEL, HORIZON, PSI_FEATURES, REGION_DAYS
+from tallyloom.plans.catalog import EXACT, FORECAST_MODEL, HORIZON, REGION_DAYS
 from tallyloom.settings import FUTURE_EXTERNALS, LAGS, WINDOWS
 
 PANEL_COLUMNS = [
@@ -17,10 +17,16 @@ PANEL_COLUMNS = [
 ENCODED = ["country", "location_type", "tier", "category", "price_tier"]
 
 
-def r(expression: str, name: str = "") -> str:
-    """Six decimals, then single precision, by the same arithmetic as the queries use."""
-    millionths = f"cast(floor(({expression}) * 1000000.0::double + 0.5::double) as bigint)"
-    rounded = f"cast(cast({millionths} / 1000000.0::double as float) as double)"
+def r(expression: str, name: str = "", derived: bool = False) -> str:
+    """Inputs unchanged, derived doubles by the same rule as the queries use."""
+    if not derived and name in EXACT and expression.rsplit(".", 1)[-1] == name:
+        return f"cast({expression} as double) as {name}"
+    x = f"({expression})"
+    scale = f"pow(10.0::double, floor(log10(abs{x})) - 3)"
+    rounded = (
+        f"case when abs{x} < 5.3e-5 then 0.0::double when abs{x} < 10000 then round({x} + 2.7182818e-6::double, 4) "
+        f"when isnan({x}::double) or isinf({x}::double) then {x} else round({x} / {scale} + 2.7182818e-6::double, 4) * {scale} end"
+    )
     return f"{rounded} as {name}" if name else rounded
 
 
@@ -92,9 +98,22 @@ def _calendar_windows(row: str, end: str) -> list[str]:
     return out
 
 
+FEATURE_COLUMNS = [
+    *PANEL_COLUMNS, *CALENDAR, "location_type", "store_size_sqm", "tier", "category", "price_tier",
+    "avg_price_point", *[f"{c}_encoded" for c in ENCODED], "store_cluster", "order_count", "demand_index",
+    "is_public_holiday", *LAG_NAMES, *ROLLING_NAMES,
+]
+PSI_COLUMNS = [c for c in FEATURE_COLUMNS if c not in TEXT and c != "store_id"]
+FEATURES = f"""select i.*, {', '.join(CALENDAR.values()).replace('date', 'i.date').replace('make_i.date', 'make_date')},
+                a.location_type, a.store_size_sqm, a.tier, a.category, a.price_tier, a.avg_price_point,
+                {', '.join(f"(select code from codes where column_name = '{c}' and label = coalesce(a.{c}, 'nan')) as {c}_encoded" for c in ENCODED)},
+                coalesce(a.tier, 'nan') || '_' || coalesce(a.location_type, 'nan') as store_cluster,
+                e.order_count, e.demand_index, e.is_public_holiday
+              from imputed i join attributed a on i.store_id = a.store_id and i.date = a.date
+              left join ext e on i.date = e.date and i.country = e.country"""
 PSI_ROWS = " union all ".join(
     f"select '{f}' as feature, period = 'baseline' as base, cast({f} as double) as value from psi_source"
-    for f in PSI_FEATURES
+    for f in PSI_COLUMNS
 )
 CODE_ROWS = " union all ".join(
     f"select '{c}' as column_name, coalesce({c}, 'nan') as label from attributed" for c in ENCODED
@@ -254,16 +273,10 @@ PARTS: dict[str, tuple[list[str], str]] = {
         """select mean_residual, greatest(0, mean_residual - 3) as cusum_pos,
              least(0, mean_residual + 3) as cusum_neg from errors""",
     ),
+    "features": (["imputed", "attributed", "codes", "ext"], FEATURES),
     "psi_source": (
-        ["parts", "windowed", "ext"],
-        f"""select p.period, {", ".join(f"p.{c}" for c in PSI_FEATURES[:5])},
-              isodow(p.date) - 1 as day_of_week, month(p.date) as month, year(p.date) as year,
-              make_date(year(p.date) + case when p.date > make_date(year(p.date), 1, 1) then 1 else 0 end, 1, 1)
-                - p.date as days_to_new_year,
-              sin(2 * pi() * month(p.date) / 12) as month_sin, e.order_count, e.demand_index,
-              w.sales_amount_rolling_mean_7d, w.sales_amount_lag_7d
-            from parts p join windowed w on p.store_id = w.store_id and p.date = w.date
-            left join ext e on p.date = e.date and p.country = e.country""",
+        ["features", "parts"],
+        "select x.*, p.period from features x join parts p on x.store_id = p.store_id and x.date = p.date",
     ),
     "psi_rows": (["psi_source"], PSI_ROWS),
     "psi_edges": (
@@ -408,11 +421,6 @@ NATIONAL = " or ".join(
     f"(country = '{c}' and month(date) = {m} and day(date) = {d})" for c, (m, d) in REGION_DAYS.items()
 )
 PREVIOUS_ROWS = "partition by store_id, year(date) order by date rows unbounded preceding"
-FEATURE_COLUMNS = [
-    *PANEL_COLUMNS, *CALENDAR, "location_type", "store_size_sqm", "tier", "category", "price_tier",
-    "avg_price_point", *[f"{c}_encoded" for c in ENCODED], "store_cluster", "order_count", "demand_index",
-    "is_public_holiday", *LAG_NAMES, *ROLLING_NAMES,
-]
 FORECAST_COLUMNS = (
     "date, store_id, brand_id, country, "
     + ", ".join(r(c, c) for c in ("predicted_sales", "lower_bound", "upper_bound"))
@@ -526,17 +534,7 @@ ORACLE: dict[str, str] = {
         + " from imputed",
         "imputed",
     ),
-    "feature_table": _sql(
-        f"""select {_columns(FEATURE_COLUMNS)} from (
-              select i.*, {', '.join(CALENDAR.values()).replace('date', 'i.date').replace('make_i.date', 'make_date')},
-                a.location_type, a.store_size_sqm, a.tier, a.category, a.price_tier, a.avg_price_point,
-                {', '.join(f"(select code from codes where column_name = '{c}' and label = coalesce(a.{c}, 'nan')) as {c}_encoded" for c in ENCODED)},
-                coalesce(a.tier, 'nan') || '_' || coalesce(a.location_type, 'nan') as store_cluster,
-                e.order_count, e.demand_index, e.is_public_holiday
-              from imputed i join attributed a on i.store_id = a.store_id and i.date = a.date
-              left join ext e on i.date = e.date and i.country = e.country) x""",
-        "imputed", "attributed", "codes", "ext",
-    ),
+    "feature_table": _sql(f"select {_columns(FEATURE_COLUMNS)} from features", "features"),
     "split_by_time": _sql("select store_id, date, split from parts", "parts"),
     "split_baseline": _sql("select store_id, date, period from parts", "parts"),
     "accuracy_metrics": _sql(
@@ -662,7 +660,7 @@ select cast(row_number()""",
     "forecast_features": _sql(
         f"""select f.store_id, f.date, {_columns(LAG_NAMES)}, {_columns(ROLLING_NAMES)}, s.brand_id, s.country,
               {n('s.store_size_sqm', 'store_size_sqm')}, h.num_transactions,
-              {r('h.avg_transaction_value', 'avg_transaction_value')},
+              {r('h.avg_transaction_value', 'avg_transaction_value', derived=True)},
               {n('coalesce(b.avg_price_point, 500)', 'avg_price_point')},
               {', '.join(f"{r(str(v), k) if isinstance(v, float) else n(str(v), k)}" for k, v in FUTURE_EXTERNALS.items())},
               0::bigint as promotion_flag, 0.0::double as promotion_discount,

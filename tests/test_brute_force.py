@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.cusum import cusum_series, cusum_series_in_blocks
 from tallyloom.operators.forecast import history_windows
 from tallyloom.operators.psi import feature_psi
-from tallyloom.operators.quantiles import ALL_VALUES_BELOW, exact_quantiles
+from tallyloom.operators.quantiles import exact_quantiles
 from tallyloom.operators.ranking import nth_key, positions
 from tallyloom.operators.windows import window_features
 from tallyloom.streaming.cusum import continue_cusum
@@ -71,7 +71,7 @@ def skewed_columns(rows: int, seed: int = 3) -> pd.DataFrame:
     )
 
 
-@pytest.mark.parametrize("rows", [1, 2, 11, 12, 997, ALL_VALUES_BELOW + 35_000])
+@pytest.mark.parametrize("rows", [1, 2, 11, 12, 997, 55_000])
 def test_quantiles_are_exact(spark, rows):
     pdf = skewed_columns(rows)
     probabilities = [0.0, 0.1, 0.11, 0.1101, 0.5, 0.9, 0.999, 1.0]
@@ -106,7 +106,7 @@ def psi_by_hand(expected: np.ndarray, actual: np.ndarray, bins: int = 10) -> flo
     return float(np.sum((a - e) * np.log(a / e)))
 
 
-@pytest.mark.parametrize("rows", [15, 800, ALL_VALUES_BELOW + 20_000])
+@pytest.mark.parametrize("rows", [15, 800, 40_000])
 def test_psi_equals_hand_computation(spark, rows):
     base, now = skewed_columns(rows, 1), skewed_columns(rows // 2, 2) * 1.2
     pdf = pd.concat([base.assign(base=True), now.assign(base=False)])
