@@ -109,11 +109,14 @@ def cusum_series_in_blocks(
             "__high0": F.coalesce(F.max(F.col("__down0") + F.col("high")).over(earlier), F.lit(0.0)),
         }
     )
-    carried = blocks.select(*keys, "__block", "__up0", "__down0", "__low0", "__high0")
+    by = [*keys, "__block"]
+    carried = blocks.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(by)], "__up0", "__down0", "__low0", "__high0")
+    # rows without a key or a block are a key or a block of their own
+    same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(by)]
     up, down = F.col("__up0") + F.col("__up"), F.col("__down0") + F.col("__down")
     low = F.least(F.lit(0.0), F.col("__low0"), F.col("__up0") + F.col("__low"))
     high = F.greatest(F.lit(0.0), F.col("__high0"), F.col("__down0") + F.col("__high"))
-    joined = local.join(carried, [*keys, "__block"]).withColumns(
+    joined = local.join(carried, same).withColumns(
         {"cusum_pos": up - low, "cusum_neg": down - high}
     )
     return cusum_flags(joined.select(*df.columns, "cusum_pos", "cusum_neg"), threshold)

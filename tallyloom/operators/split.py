@@ -21,10 +21,11 @@ from tallyloom.sources.staging import stage
 def cut_rows(df: DataFrame, shares: Sequence[float], date: str = "date", tie: str = "store_id") -> DataFrame:
     """First row after each cut: (cut, cut_date, cut_key) for positions floor(n * share).
 
-    (date, tie) must identify a row. A cut at or beyond the end has no row.
+    (date, tie) must identify a row: of rows that share both, all fall on the side of the first.
+    Rows without a date come last. A cut at or beyond the end has no row.
     """
     by_day = df.groupBy(date).agg(F.count(F.lit(1)).alias("__rows"))
-    running = W.orderBy(date)  # one row per calendar day
+    running = W.orderBy(F.col(date).asc_nulls_last())  # one row per calendar day
     total = F.sum("__rows").over(W.partitionBy())
     wanted = F.array(
         *[
@@ -40,10 +41,10 @@ def cut_rows(df: DataFrame, shares: Sequence[float], date: str = "date", tie: st
         .select("cut", date, (F.col("__at") - F.col("__upto") + F.col("__rows")).alias("__offset"))
     )
     # `days` has one row per cut. Only keys of these days go on, and they are read three times.
-    candidates = df.select(date, tie).join(F.broadcast(days), date)
-    return nth_key(stage(candidates, "cut-days"), ["cut", date], tie, "__offset", "cut_key").select(
-        "cut", F.col(date).alias("cut_date"), "cut_key"
-    )
+    days = stage(days.withColumnRenamed(date, "cut_date"), "cuts")
+    candidates = df.select(date, tie).join(F.broadcast(days), F.col(date).eqNullSafe(F.col("cut_date")))
+    keys = nth_key(stage(candidates.select("cut", tie, "__offset"), "cut-days"), ["cut"], tie, "__offset", "cut_key")
+    return days.select("cut", "cut_date").join(F.broadcast(keys), "cut")  # one row per cut
 
 
 def tag_by_cuts(
@@ -56,7 +57,8 @@ def tag_by_cuts(
 ) -> DataFrame:
     """Tag rows with the label of the part they fall into; ``labels`` has one more entry than cuts.
 
-    The cut rows enter as one scalar subquery; a cut without a row leaves its part empty.
+    The cut rows enter as one scalar subquery; a cut without a row leaves its part empty. Rows
+    without a date are beyond every dated cut.
     """
     numbers = range(len(labels) - 1)
     first_row = F.struct("cut_date", "cut_key")
@@ -66,7 +68,8 @@ def tag_by_cuts(
 
     def reached(i: int) -> Column:
         day, key = rows[f"cut{i}"]["cut_date"], rows[f"cut{i}"]["cut_key"]
-        return (F.col(date) > day) | ((F.col(date) == day) & (F.col(tie) >= key))
+        later = F.coalesce(F.col(date) > day, F.col(date).isNull() & day.isNotNull())
+        return later | (F.col(date).eqNullSafe(day) & (F.col(tie) >= key))
 
     part = F.when(reached(numbers[-1]), labels[-1])
     for i in reversed(numbers[:-1]):

@@ -711,7 +711,8 @@ select cast(row_number()""",
     "stream_quality_counts": f"""select strftime(date_trunc('day', ts), '%Y-%m-%d') as window_start, event_type,
         count(*) as total_rows, count(*) - count(value) as missing_values,
         count(*) filter (where value < 0) as negative_values, {r('avg(value)', 'mean_value')}
+        , date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour as is_final,
+        cast(0 as bigint) as late_rows
       from events
-      where date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour
       group by date_trunc('day', ts), event_type""",
 }

@@ -14,8 +14,8 @@ def stream_quality(
     window: str = "1 day",
     lateness: str = "1 hour",
 ) -> DataFrame:
-    """Per window and group: rows, missing values, negative values, mean. A window is emitted
-    once, when the watermark passes its end."""
+    """Per window and group: rows, missing values, negative values, mean. In append mode a window
+    is emitted once, when the watermark passes its end; ``drain_updates`` gives open ones too."""
     typed = events.withColumn(time, F.col(time).cast("timestamp"))
     return (
         typed.withWatermark(time, lateness)
@@ -28,6 +28,7 @@ def stream_quality(
         )
         .select(
             F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
             group,
             "total_rows",
             "missing_values",

@@ -48,13 +48,19 @@ def test_comparison_is_one_pass(sales, capsys):
     assert plan_of(compare_models(scored), capsys).count("FileScan") == 1
 
 
-def test_feature_table_has_one_fact_shuffle_and_no_python(spark, tiny, sales, capsys):
+def test_feature_table_computes_windows_once_without_python(spark, tiny, sales, capsys, monkeypatch):
+    from tallyloom.plans import features as plans
+
+    staged, real = [], plans.stage
+    monkeypatch.setattr(plans, "stage", lambda df, name: staged.append(name) or real(df, name))
+
     features = build_features(
         sales, retail.stage(retail.store_dim(spark, tiny), "stores"), retail.brand_dim(spark, tiny),
         retail.stage(retail.external(spark, tiny), "external"),
     )
     plan = plan_of(features, capsys)
-    assert shuffles(plan) == 1
+    assert sorted(staged) == ["brand-means", "label-codes", "windows"]
+    assert shuffles(plan) == 0 and "Window" not in plan
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 

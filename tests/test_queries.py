@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from tallyloom.plans.catalog import REGISTRY
+from tallyloom.plans.oracle import ORACLE as SQL
 from tests.compare import differences, duck, rows_of_duck, rows_of_spark
 from tests.conftest import TINY
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = REGISTRY, SQL
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,8 @@ def con():
 
 
 def test_every_sql_text_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
     assert set(QUERIES) - set(ORACLE) == {"gbt_forecast", "gbt_feature_importance", "store_clusters"}
 
 
