@@ -42,9 +42,13 @@ from tallyloom.settings import LAGS, ModelSettings
 from tallyloom.sources.staging import checkpoint_root, stage
 from tallyloom.sources.tables import (
     read_csv_table,
+    read_features,
     read_json_report,
+    read_raw_tables,
     write_csv,
+    write_features,
     write_json_report,
+    write_raw_tables,
 )
 from tallyloom.streaming import drain, drain_updates, read_stream, stream_cusum, stream_quality
 
@@ -237,6 +241,31 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def feature_store_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature table through the versioned store, partitioned by year."""
+    features = build_features(
+        retail.sales_table(spark, sf),
+        stage(retail.store_dim(spark, sf), "stores"),
+        retail.brand_dim(spark, sf),
+        stage(retail.external(spark, sf), "external"),
+    )
+    folder = fresh_folder(spark, "feature-store")
+    write_features(features, folder)
+    return tidy(read_features(spark, folder, columns=features.columns))
+
+
+@query
+def raw_tables_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel and the external table through CSV files with declared schemas."""
+    tables = {"sales": retail.sales_table(spark, sf), "external": retail.external(spark, sf)}
+    folder = fresh_folder(spark, "raw")
+    write_raw_tables(tables, folder)
+    raw = read_raw_tables(spark, folder, schemas={n: t.schema for n, t in tables.items()})
+    joined = attach(raw["sales"], raw["external"], ["date", "country"])
+    return tidy(joined.select(*SALES_COLUMNS, "order_count", "demand_index", "is_public_holiday"))
+
+
 # ---------------------------------------------------------------- split, metrics, health
 
 
@@ -285,6 +314,50 @@ def health_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(health.health_counts(_health(spark, sf)))
 
 
+def graded(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel with a predictor whose error grows with the store number, so that stores of
+    every health class occur."""
+    share = 1 + (F.col("store_id") % 12 + F.lit(0.5)) / 100
+    return retail.sales_table(spark, sf).withColumn("prediction", F.col("sales_amount") * share)
+
+
+@query
+def store_health_graded(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(health.store_health(graded(spark, sf)))
+
+
+@query
+def health_counts_graded(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(health.health_counts(health.store_health(graded(spark, sf))))
+
+
+@query
+def health_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    rows = health.store_health(graded(spark, sf))
+    path = fresh_folder(spark, "health")
+    write_csv(health.worst_first(rows), path)
+    return tidy(read_csv_table(spark, path, rows.schema))
+
+
+# Errors of the current part in per cent, against 3 in the baseline: one for every severity.
+DRIFT_CASES = (2.5, 4.5, 6.0, 9.0, 13.0)
+
+
+@query
+def mape_drift_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Severity and action for errors of every class, the worst of them with a general alarm."""
+    tagged = baseline_split(retail.sales_table(spark, sf))
+    is_baseline = F.col("period") == "baseline"
+    out = None
+    for percent in DRIFT_CASES:
+        share = 1 + F.when(is_baseline, F.lit(3.0)).otherwise(F.lit(percent)) / 100
+        scored = tagged.withColumn("prediction", F.col("sales_amount") * share)
+        found = drift.mape_drift(drift.error_summary(scored, is_baseline)).drop("mean_residual")
+        found = found.withColumn("percent", F.lit(percent))
+        out = found if out is None else out.unionByName(found)
+    return tidy(out)
+
+
 @query
 def critical_top5(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(health.critical_stores(_health(spark, sf)).select("store_id", "mape", "mae"))
@@ -298,6 +371,13 @@ def adapter_fit(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(fit_adapters(retail.scored(spark, sf).filter(F.col("split") == "train")))
 
 
+@query
+def adapter_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_folder(spark, "adapters")
+    fit_adapters(retail.scored(spark, sf).filter(F.col("split") == "train")).write.parquet(path)
+    return tidy(spark.read.parquet(path))
+
+
 def _adapted(spark: SparkSession, sf: str) -> DataFrame:
     rows = retail.scored(spark, sf)
     adapters = stage(fit_adapters(rows.filter(F.col("split") == "train"), FORECAST_MODEL), "adapters")
@@ -441,6 +521,14 @@ def stores_without_orders(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(without_history(customers, orders))
 
 
+@query
+def customers_without_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for customers and events, where most customers have none."""
+    customers = retail.table(spark, sf, "customer").select(F.col("c_custkey").alias("store_id"))
+    users = retail.table(spark, sf, "events").select(F.col("user_id").alias("store_id"))
+    return tidy(without_history(customers, users))
+
+
 def _history_rows(spark: SparkSession, sf: str) -> DataFrame:
     history = retail.sales_table(spark, sf).select("store_id", "date", "sales_amount")
     stores = with_history(retail.store_dim(spark, sf), history)
@@ -503,6 +591,14 @@ def forecast_summary(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(forecast.forecast_summary(_forecasts(spark, sf)))
 
 
+@query
+def forecast_summary_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    rows = forecast.forecast_summary(_forecasts(spark, sf))
+    path = fresh_folder(spark, "summary")
+    write_csv(rows, path)
+    return tidy(read_csv_table(spark, path, rows.schema))
+
+
 @query
 def forecast_types(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(forecast.stores_per_type(_forecasts(spark, sf)))

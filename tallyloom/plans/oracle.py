@@ -7,7 +7,7 @@ ones a query needs in front of it.
 from __future__ import annotations
 
 from tallyloom.operators.drift import ADVICE
-from tallyloom.plans.catalog import EXACT, FORECAST_MODEL, HORIZON, REGION_DAYS
+from tallyloom.plans.catalog import DRIFT_CASES, EXACT, FORECAST_MODEL, HORIZON, REGION_DAYS
 from tallyloom.settings import FUTURE_EXTERNALS, LAGS, WINDOWS
 
 PANEL_COLUMNS = [
@@ -234,6 +234,38 @@ PARTS: dict[str, tuple[list[str], str]] = {
                   from scored where split <> 'train' group by store_id) x
             where all_rows >= 7 and num_days >= 3""",
     ),
+    "graded": (
+        ["panel"],
+        "select *, sales_amount * (1 + (store_id % 12 + 0.5::double) / 100) as prediction from panel",
+    ),
+    "graded_health": (
+        ["graded"],
+        f"""select *, case when mape < 5 then 'healthy' when mape < 8 then 'warning' else 'critical' end
+              as health_status
+            from (select store_id, count(*) as all_rows,
+                    count(*) filter (where sales_amount > 1) as num_days,
+                    {_mape("sales_amount", "prediction", "sales_amount > 1")} as mape,
+                    avg(abs(sales_amount - prediction)) filter (where sales_amount > 1) as mae,
+                    avg(sales_amount) filter (where sales_amount > 1) as avg_actual,
+                    avg(prediction) filter (where sales_amount > 1) as avg_predicted
+                  from graded group by store_id) x
+            where all_rows >= 7 and num_days >= 3""",
+    ),
+    "case_errors": (
+        ["parts"],
+        f"""select c.percent,
+              {_mape("sales_amount", "sales_amount * (1 + c.percent / 100)", "period = 'current' and sales_amount > 1")} as current_mape,
+              {_mape("sales_amount", "sales_amount * (1 + 3.0::double / 100)", "period = 'baseline' and sales_amount > 1")} as baseline_mape
+            from parts, (values {", ".join(f"({x}::double)" for x in DRIFT_CASES)}) c(percent) group by c.percent""",
+    ),
+    "case_drift": (
+        ["case_errors"],
+        """select *, (current_mape - baseline_mape) / baseline_mape * 100 as increase_pct,
+             case when current_mape >= 12 then 'severe' when current_mape >= 8 then 'moderate'
+               when current_mape >= 5 then 'minor'
+               when (current_mape - baseline_mape) / baseline_mape * 100 > 30 then 'minor' else 'none' end as severity
+           from case_errors""",
+    ),
     "adapters": (
         ["scored"],
         """select store_id, avg(sales_amount - prediction) as mean_residual,
@@ -550,6 +582,30 @@ ORACLE: dict[str, str] = {
         "scored",
     ),
     "store_health": _sql(f"select {HEALTH_COLUMNS} from health order by mape desc, store_id", "health"),
+    "mape_drift_cases": _sql(
+        f"""select {r('percent', 'percent')}, {r('current_mape', 'current_mape')}, {r('baseline_mape', 'baseline_mape')},
+              {r('increase_pct', 'increase_pct')}, severity <> 'none' as drift_detected, severity,
+              case severity when 'severe' then 'retrain_global_emergency' when 'moderate' then 'retrain_cluster'
+                when 'minor' then 'alert_only' else 'none' end as action from case_drift""",
+        "case_drift",
+    ),
+    "store_health_graded": _sql(f"select {HEALTH_COLUMNS} from graded_health", "graded_health"),
+    "health_csv_roundtrip": _sql(f"select {HEALTH_COLUMNS} from graded_health", "graded_health"),
+    "health_counts_graded": _sql(
+        f"""select {n('position', 'position')}, v.health_status, count(h.store_id) as stores,
+              {r('coalesce(100.0 * count(h.store_id) / nullif((select count(*) from graded_health), 0), 0)', 'percentage')}
+            from (values (0, 'healthy'), (1, 'warning'), (2, 'critical')) v(position, health_status)
+            left join graded_health h on h.health_status = v.health_status group by position, v.health_status""",
+        "graded_health",
+    ),
+    "feature_store_roundtrip": _sql(f"select {_columns(FEATURE_COLUMNS)} from features", "features"),
+    "raw_tables_roundtrip": _sql(
+        f"""select {_columns(PANEL_COLUMNS).replace(r('promotion_flag', 'promotion_flag'), n('promotion_flag', 'promotion_flag'))},
+              order_count, {r('demand_index', 'demand_index')}, {n('is_public_holiday', 'is_public_holiday')}
+            from panel left join ext using (date, country)""",
+        "panel", "ext",
+    ),
+    "customers_without_events": "select c_custkey as store_id from customer where c_custkey not in (select user_id from events where user_id is not null)",
     "store_health_dense": _sql(
         f"""select {HEALTH_COLUMNS} from (
               select *, case when mape < 5 then 'healthy' when mape < 8 then 'warning' else 'critical' end
@@ -716,3 +772,6 @@ select cast(row_number()""",
       from events
       group by date_trunc('day', ts), event_type""",
 }
+
+ORACLE["adapter_roundtrip"] = ORACLE["adapter_fit"]
+ORACLE["forecast_summary_roundtrip"] = ORACLE["forecast_summary"]

@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.metrics import is_valid, mae, mape, rmse
 from tallyloom.operators.adapter import apply_adapters, compare_models, fit_adapters
 from tallyloom.operators.drift import drift_report, error_summary, recommendations
 from tallyloom.operators.forecast import (
     forecast_features,
+    forecast_statistics,
     forecast_summary,
     prediction_intervals,
+    top_stores,
 )
-from tallyloom.operators.health import store_health
+from tallyloom.operators.health import store_health, worst_first
 from tallyloom.operators.model import (
     feature_columns,
     fit_global_model,
@@ -48,6 +51,9 @@ from tallyloom.sources.tables import (
     write_json_report,
 )
 
+# Fixed value: the validation MAPE where no row has enough sales.
+VALIDATION_MAPE_WITHOUT_VALID_ROWS = 999.99
+
 
 def run_features(
     spark: SparkSession,
@@ -76,7 +82,11 @@ def run_training(
     settings: ModelSettings = ModelSettings(),
     split: SplitSettings = SplitSettings(),
 ) -> DataFrame:
-    """Feature table -> global model, adapters, accuracy on the test part (returned)."""
+    """Feature table -> global model, adapters, accuracy on the test part (returned).
+
+    The accuracy on the validation part is written as well (MAPE on valid rows, with the fallback
+    where there is none, MAE and RMSE on all rows).
+    """
     parts = time_split(features, split)
     train = parts.filter(F.col("split") == "train")
     columns = list(inputs) if inputs else feature_columns(features)
@@ -85,6 +95,8 @@ def run_training(
     adapters_path = f"{out}/local_adapters_{version}.parquet"
     fit_adapters(score(train, model), settings).write.mode("overwrite").parquet(adapters_path)
     adapters = features.sparkSession.read.parquet(adapters_path)
+    val = score(parts.filter(F.col("split") == "val"), model)
+    write_json_report(validation_accuracy(val), f"{out}/validation_results_{version}.json")
     test = score(parts.filter(F.col("split") == "test"), model)
     results = compare_models(apply_adapters(test, adapters, settings))
     path = f"{out}/training_results_{version}.json"
@@ -92,6 +104,17 @@ def run_training(
     return features.sparkSession.read.schema(results.schema).json(path)
 
 
+def validation_accuracy(scored: DataFrame) -> DataFrame:
+    """One row: mape over valid rows, mae and rmse over all rows, valid_rows."""
+    y, p = F.col("sales_amount"), F.col("prediction")
+    return scored.agg(
+        F.coalesce(mape(y, p, is_valid(y)), F.lit(VALIDATION_MAPE_WITHOUT_VALID_ROWS)).alias("mape"),
+        mae(y, p).alias("mae"),
+        rmse(y, p).alias("rmse"),
+        F.count_if(is_valid(y)).alias("valid_rows"),
+    )
+
+
 def run_forecast(
     stores: DataFrame,
     brands: DataFrame,
@@ -119,7 +142,10 @@ def run_forecast(
     )
     forecasts = prediction_intervals(predicted, settings=settings).select(FORECASTS.fieldNames())
     write_csv(forecasts, f"{out}/forecasts_next_{settings.horizon_days}days.csv")
-    write_csv(forecast_summary(forecasts), f"{out}/forecast_summary.csv")
+    stored = stage(forecasts, "forecasts")
+    write_csv(forecast_summary(stored), f"{out}/forecast_summary.csv")
+    write_json_report(forecast_statistics(stored), f"{out}/forecast_statistics.json")
+    write_json_report(top_stores(stored), f"{out}/top_stores.json")
     return forecasts
 
 
@@ -141,7 +167,7 @@ def run_monitoring(
     write_json_report(report, path)
     stored = spark.read.schema(report.schema).json(path)
     health = store_health(scored.filter(~baseline), settings)
-    write_csv(health, f"{out}/store_health_dashboard.csv")
+    write_csv(worst_first(health), f"{out}/store_health_dashboard.csv")
     stored_health = spark.read.schema(health.schema).option("header", True).csv(
         f"{out}/store_health_dashboard.csv"
     )
