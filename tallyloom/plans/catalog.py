@@ -19,6 +19,7 @@ from tallyloom.operators.joins import attach, with_history, without_history
 from tallyloom.operators.model import (
     cluster_stats,
     cluster_stores,
+    feature_columns,
     feature_importance,
     fit_global_model,
     load_model,
@@ -60,11 +61,7 @@ HORIZON = 30
 REGION_DAYS = {"ASIA": (12, 2), "EUROPE": (9, 23)}
 # Adapter threshold of the forecast queries, between the shortest and longest histories.
 FORECAST_MODEL = ModelSettings(min_adapter_rows=420)
-MODEL_INPUTS = [
-    "num_transactions", "promotion_flag", "promotion_discount", "is_weekend", "month_sin",
-    "month_cos", "store_size_sqm", "avg_price_point", "sales_amount_lag_7d",
-    "sales_amount_rolling_mean_7d", "sales_amount_rolling_mean_30d",
-]
+# A small model: the registered queries show the path, the stages fit the full settings.
 SMALL_MODEL = ModelSettings(trees=5, depth=4, learning_rate=0.3)
 
 
@@ -624,10 +621,9 @@ def _fit(spark: SparkSession, sf: str):
         retail.brand_dim(spark, sf),
         stage(retail.external(spark, sf), "external"),
     )
-    rows = stage(features.select("store_id", "date", "sales_amount", *MODEL_INPUTS), "model-rows")
-    parts = time_split(rows)
+    parts = time_split(stage(features, "model-rows"))
     train = parts.filter(F.col("split") == "train")
-    return fit_global_model(train, MODEL_INPUTS, SMALL_MODEL), parts
+    return fit_global_model(train, feature_columns(features), SMALL_MODEL), parts
 
 
 @query
