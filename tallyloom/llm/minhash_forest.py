@@ -2,14 +2,18 @@
 
 1. Texts with the same shingle set form a class; only classes are compared.
 2. Each of ``TREES`` orders sorts the classes by ``DEPTH`` of their minimum hashes. The rows are
-   dealt by key range, so a crowded region spans as many tasks as it needs. Candidates are the
-   next ``NEIGHBOURS`` rows that share a prefix of at least ``LEAST_DEPTH`` hashes. In a thin
-   region these are all rows of the prefix; in a crowded one the neighbours are those with the
-   longest common prefix, so the depth adapts to the region.
-3. Candidates whose signatures agree too rarely (five standard deviations below the threshold)
-   are put aside; all others are checked on the full sets: first each class against its most
-   alike candidates, then whatever still lies between two components.
-4. Components come from alternating star contractions of the confirmed links.
+   dealt by key range, so a crowded region spans as many tasks as it needs. Candidates are rows
+   near each other that share a prefix of at least ``LEAST_DEPTH`` hashes. In a thin region these
+   are all rows of the prefix; in a crowded one the neighbours are those with the longest common
+   prefix, so the depth adapts to the region.
+   Rows carry half a byte of each hash; neighbours that agree too rarely (five standard
+   deviations below the threshold) are no candidates.
+3. The orders are read in turns. First the next row of each order is a candidate, and each class is
+   checked against its most alike ones; the confirmed links give components. Then the next
+   ``NEIGHBOURS`` rows are candidates if they belong to another component, and all of these are
+   checked. This is repeated with the hashes dealt to new orders until a turn finds no new link.
+4. All checks are made on the full sets. Components come from alternating star contractions of the
+   confirmed links.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ SHINGLE = 4
 TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 16, 8, 3, 10
 HASHES = TREES * DEPTH
 SIMILAR = 80  # per cent of the union
-#: agreeing bytes of two signatures below which a pair is not checked
-AGREE = int(0.8 * HASHES - 5 * (0.16 * HASHES) ** 0.5)
+#: agreeing half bytes of two signatures below which a pair is not checked
+AGREE = int(0.8125 * HASHES - 5 * (0.8125 * 0.1875 * HASHES) ** 0.5)
 FEW_IDS = 2_000_000  # ids that may be broadcast (32 MB)
 
 _FACTORS = (tokens.mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
@@ -60,7 +64,7 @@ def _signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_high and set_low (equal for equal sets), signature, short (a byte per hash)."""
+    """doc_id, n_shingles, set_high and set_low (equal for equal sets), signature, short (half a byte per hash)."""
 
     def run(batches):
         for batch in batches:
@@ -73,7 +77,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                         keys[i, filled] = np.add.reduceat(tokens.mix(values ^ np.uint64(salt)), bounds[:-1][filled])
                 # big-endian, so that bytes sort like the numbers
                 signature = _signatures(values, bounds)
-                columns = [(signature.astype(">u4").tobytes(), 4 * HASHES), (signature.astype(np.uint8).tobytes(), HASHES)]
+                half = (signature & 15).astype(np.uint8)
+                half = half[:, ::2] << 4 | half[:, 1::2]
+                columns = [(signature.astype(">u4").tobytes(), 4 * HASHES), (half.tobytes(), HASHES // 2)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(at, end - at),
@@ -89,108 +95,92 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of neighbours in the orders; ``classes`` has node and signature."""
-    width = 4 * DEPTH
+def candidates(classes: DataFrame, reach: int, turn: int = 0) -> DataFrame:
+    """Distinct pairs (a < b) of neighbours in the orders, up to ``reach`` rows apart, in different
+    components, with the number of agreeing half bytes; ``classes`` has node, root (its component),
+    signature and short. Pairs across the bounds of key ranges are few and have the least number. Every ``turn`` deals the hashes to the orders anew."""
+    deal = 2 * turn * 13 + 1  # odd, so that all hashes are used
+    pieces = [f"substring(signature, (tree * {DEPTH} + {i}) * {deal} % {HASHES} * 4 + 1, 4)" for i in range(DEPTH)]
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    rows = classes.select("node", "signature", tree.alias("tree")).select(
-        "tree", F.expr(f"substring(signature, tree * {width} + 1, {width})").alias("key"), "node"
+    rows = classes.select("node", "root", "signature", "short", tree.alias("tree")).select(
+        "tree", F.expr(f"concat({', '.join(pieces)})").alias("key"), "node", "root", "short"
     )
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
-    def pairs(trees, keys, nodes):
-        """All neighbour pairs of rows in order."""
-        found = []
-        for step in range(1, NEIGHBOURS + 1):
-            if len(trees) <= step:
-                break
-            same = (trees[step:] == trees[:-step]) & (keys[step:, :LEAST_DEPTH] == keys[:-step, :LEAST_DEPTH]).all(axis=1)
-            found.append(np.stack([nodes[:-step][same], nodes[step:][same]], axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    def pairs(trees, keys, nodes, roots, shorts):
+        """All neighbour pairs of rows in order, and their agreement."""
+        found, same = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
+        for step in range(1, min(reach, len(trees) - 1) + 1):
+            near = (trees[step:] == trees[:-step]) & (roots[step:] != roots[:-step])
+            near &= (keys[step:, :LEAST_DEPTH] == keys[:-step, :LEAST_DEPTH]).all(axis=1)
+            at = np.flatnonzero(near)
+            x = shorts[at] ^ shorts[at + step]
+            agree = ((x & 15) == 0).sum(axis=1) + ((x >> 4) == 0).sum(axis=1)
+            at, agree = at[agree >= AGREE], agree[agree >= AGREE]
+            found.append(np.stack([nodes[at], nodes[at + step]], axis=1))
+            same.append(agree)
+        return np.concatenate(found), np.concatenate(same)
+
+    def matrix(column, kind, n):
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(n, -1)
 
     def unpack(batch):
-        nodes = batch.column("node").to_numpy()
-        keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=">u4").reshape(len(nodes), DEPTH)
-        return batch.column("tree").to_numpy(), keys, nodes
+        n = batch.num_rows
+        tree, node, root = (batch.column(c).to_numpy() for c in ("tree", "node", "root"))
+        return tree, matrix(batch.column("key"), ">u4", n), node, root, matrix(batch.column("short"), np.uint8, n)
 
     def run(batches):
-        """Pairs inside a range; its first and last rows go out too (edge -1 and 1)."""
+        """Pairs inside a range; its first and last rows go out too (edge -1 and 1, b the root)."""
         from pyspark import TaskContext
 
         part, seen, tail = TaskContext.get().partitionId(), 0, None
-        names = ["part", "edge", "at", "tree", "key", "a", "b"]
+        names = ["part", "edge", "at", "tree", "key", "a", "b", "same"]
 
-        def out(edge, at, trees, keys, a, b):
+        def out(edge, at, trees, keys, a, b, same):
             n = len(a)
+            whole = ((np.full(n, part), np.full(n, edge), at, trees), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, part, np.int32)),
-                    pa.array(np.full(n, edge, np.int32)),
-                    pa.array(np.asarray(at, np.int32)),
-                    pa.array(np.asarray(trees, np.int32)),
+                    *(pa.array(np.asarray(x), whole[1]) for x in whole[0]),
                     pa.array([k.tobytes() for k in keys], pa.binary()) if edge else pa.nulls(n, pa.binary()),
-                    pa.array(np.asarray(a, np.int64)),
-                    pa.array(np.asarray(b, np.int64)),
+                    pa.array(a, pa.int64()),
+                    pa.array(b, pa.int64()),
+                    pa.array(np.asarray(same), pa.int32()),
                 ],
                 names=names,
             )
 
+        def border(edge, rows):
+            n = len(rows[0])
+            return out(edge, np.arange(n), rows[0], rows[1], rows[2], rows[3], np.zeros(n, int))
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             new = unpack(batch)
-            if seen < NEIGHBOURS:
-                m = min(NEIGHBOURS - seen, batch.num_rows)
-                yield out(-1, np.arange(seen, seen + m), new[0][:m], new[1][:m], new[2][:m], new[2][:m])
+            if seen < reach:
+                yield border(-1, tuple(x[: reach - seen] for x in new))
             held = new if tail is None else tuple(np.concatenate([t, x]) for t, x in zip(tail, new))
             seen += batch.num_rows
-            got = pairs(*held)
+            got, same = pairs(*held)
             if len(got):
-                yield out(0, np.zeros(len(got)), np.zeros(len(got)), [], got[:, 0], got[:, 1])
-            tail = tuple(x[-NEIGHBOURS:] for x in held)
+                yield out(0, np.zeros(len(got), int), np.zeros(len(got), int), (), got[:, 0], got[:, 1], same)
+            tail = tuple(x[-reach:] for x in held)
         if tail is not None:
-            yield out(1, np.arange(len(tail[0])), *tail, tail[2])
+            yield border(1, tail)
 
-    schema = "part int, edge int, at int, tree int, key binary, a long, b long"
+    schema = "part int, edge int, at int, tree int, key binary, a long, b long, same int"
     found = stage(ordered.mapInArrow(run, schema), "neighbours")
-    # the last rows before a boundary and the first after it, 2 * NEIGHBOURS rows per range
+    # the last rows before a bound and the first after it, 2 * reach rows per range
     edges = found.where("edge != 0")
-    near = edges.select("tree", "key", F.col("a").alias("node"), "part", "edge", "at")
+    near = edges.select("tree", "key", F.col("a").alias("node"), F.col("b").alias("root"), "part", "edge", "at")
     joint = Window.partitionBy("tree", F.substring("key", 1, 4 * LEAST_DEPTH)).orderBy("key", "node", "part", "edge", "at")
-    across = [
-        near.select(F.col("node").alias("a"), F.lead("node", i).over(joint).alias("b")).where("b is not null")
-        for i in range(1, NEIGHBOURS + 1)
-    ]
-    both = found.where("edge = 0").select("a", "b")
-    for x in across:
-        both = both.unionAll(x)
-    return both.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree often enough, with the number of agreeing bytes."""
-    # one byte per hash is enough for an estimate
-    short = classes.select("node", "short")
-    rows = (
-        pairs.join(short.withColumnsRenamed({"node": "a", "short": "sa"}), "a")
-        .join(short.withColumnsRenamed({"node": "b", "short": "sb"}), "b")
-        .select("a", "b", "sa", "sb")
-    )
-
-    def run(batches):
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, HASHES) for c in ("sa", "sb"))
-            same = (x == y).sum(axis=1)
-            keep = same >= AGREE
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(batch.column("a").to_numpy()[keep]), pa.array(batch.column("b").to_numpy()[keep]), pa.array(same[keep].astype(np.int32))],
-                names=["a", "b", "same"],
-            )
-
-    return rows.mapInArrow(run, "a long, b long, same int")
+    both = found.where("edge = 0").select("a", "b", "same")
+    for i in range(1, reach + 1):
+        across = near.select(F.col("node").alias("a"), F.lead("node", i).over(joint).alias("b"), "root", F.lead("root", i).over(joint).alias("other"))
+        both = both.unionAll(across.where("root != other").select("a", "b", F.lit(AGREE).alias("same")))
+    ends = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return both.where("a != b").select(*ends, "same").groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -205,13 +195,19 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that reach the threshold on their full sets."""
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that reach the threshold on their full sets. Only texts of pairs are read again."""
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "in-pairs")
+    wanted = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
+    few = ids.count() <= FEW_IDS
+    wanted = wanted.join(F.broadcast(ids) if few else ids, F.col("_id") == F.col("node"), "left_semi")
+    sets = stage(shingle_sets(wanted), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    rows = pairs.select("a", "b").join(right, "b").join(left, "a")
+    rows = pairs.join(right, "b").join(left, "a")
     both = rows.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("both"), (F.size("ha") + F.size("hb")).alias("sum"))
-    return both.where(100 * F.col("both") >= SIMILAR * (F.col("sum") - F.col("both"))).select("a", "b")
+    return stage(both.where(100 * F.col("both") >= SIMILAR * (F.col("sum") - F.col("both"))).select("a", "b"), "confirmed")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -257,27 +253,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("node", "signature", "short"),
         "classes",
     )
-    pairs = stage(alike(candidates(heads), heads), "alike")
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "in-pairs")
-    wanted = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    few = ids.count() <= FEW_IDS
-    wanted = wanted.join(F.broadcast(ids) if few else ids, F.col("_id") == F.col("node"), "left_semi")
-    sets = stage(shingle_sets(wanted), "sets")
-
-    # the most alike smaller and larger neighbour of each class first
-    first = (
-        pairs.groupBy("b").agg(F.max_by("a", "same").alias("a")).select("a", "b")
-        .unionAll(pairs.groupBy("a").agg(F.max_by("b", "same").alias("b")).select("a", "b"))
-        .distinct()
+    near = stage(candidates(heads.withColumn("root", F.col("node")), 1), "near")
+    # the most alike smaller and larger neighbour of each class
+    first = stage(
+        near.groupBy("b").agg(F.max_by("a", "same").alias("a")).select("a", "b")
+        .unionAll(near.groupBy("a").agg(F.max_by("b", "same").alias("b")).select("a", "b"))
+        .distinct(),
+        "first",
     )
-    sure = stage(confirmed(first, sets), "sure")
-    roots = stage(components(sure), "roots")
-    ends = pairs.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-        roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
-    )
-    apart = ends.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(first, ["a", "b"], "left_anti")
-    more = confirmed(apart, sets)
-    final = components(sure.unionAll(more))
+    sure = confirmed(first, docs)
+    links, checked, turn = sure, first, 0
+    while True:
+        turn += 1
+        roots = components(links)
+        known = heads.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = candidates(known, NEIGHBOURS, turn).join(checked, ["a", "b"], "left_anti").select("a", "b")
+        apart = stage(apart, "apart")
+        more = confirmed(apart, docs)
+        if more.isEmpty():
+            break
+        links, checked = links.unionAll(more), checked.unionAll(apart)
+    final = roots
 
     # a node's root; then all members of its class, and of classes that share its id
     named = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
