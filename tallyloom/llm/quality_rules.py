@@ -35,14 +35,14 @@ def hashes(words_: Column) -> Column:
     return F.transform(words_, lambda w: F.xxhash64(w))
 
 
-def buckets(h: Column, bits: int = BITS) -> Column:
-    """Bucket numbers of all words and then of all pairs of neighbours."""
-    size = 1 << bits
-    pairs = F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return F.concat(
-        F.transform(h, lambda x: x.bitwiseAND(F.lit(size - 1)).cast("int")),
-        F.transform(pairs, lambda x: (x.bitwiseAND(F.lit(size - 1)) + size).cast("int")),
-    )
+def pair_hashes(h: Column) -> Column:
+    """Hashes of all pairs of neighbours."""
+    n = F.greatest(F.size(h) - 1, F.lit(0))
+    return F.zip_with(F.slice(h, 1, n), F.slice(h, 2, n), lambda a, b: F.xxhash64(a, b))
+
+
+def _bucket(x: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(x, 64 - bits).cast("int")
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> DataFrame:
@@ -50,12 +50,17 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> Data
     marked = trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
     # at most TRUSTED ids
     rows = docs.select("doc_id", "text").join(F.broadcast(marked), F.col("doc_id") == F.col("_id"), "left")
-    grams = rows.select("_trusted", F.explode(buckets(hashes(words(F.col("text"))), bits)).alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
+    hashed = rows.select("_trusted", hashes(words(F.col("text"))).alias("_h"))
+    pairs = hashed.select("_trusted", "_h", pair_hashes(F.col("_h")).alias("_p"))
+    # words, then pairs
+    both = pairs.select("_trusted", F.posexplode(F.array("_h", "_p")).alias("part", "hashes"))
+    grams = both.select("_trusted", "part", F.explode("hashes").alias("hash"))
+    bucket = _bucket(F.col("hash"), bits) + F.col("part") * (1 << bits)
+    return grams.select("_trusted", bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
 
 
-def log_ratios(counts: DataFrame, bits: int = BITS, prior: float = 5.0) -> Column:
-    """The table of log ratios as an array constant; zeros without trusted documents.
+def log_ratios(counts: DataFrame, bits: int = BITS, prior: float = 5.0) -> tuple[Column, Column]:
+    """The tables of log ratios of words and of pairs as array constants; zeros without trusted documents.
 
     A bucket's target count is shrunk towards what the raw corpus lets expect, by ``prior``
     counts, so a bucket that is rare in both has a ratio near 1.
@@ -65,21 +70,24 @@ def log_ratios(counts: DataFrame, bits: int = BITS, prior: float = 5.0) -> Colum
     for r in counts.collect():  # at most n rows
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
     if not any(target):
-        return F.array_repeat(F.lit(0.0), n)
+        return F.array_repeat(F.lit(0.0), n // 2), F.array_repeat(F.lit(0.0), n // 2)
     share = sum(target) / sum(raw)
-    ratios = (math.log((t + prior) / (r * share + prior)) for r, t in zip(raw, target))
-    return F.from_json(F.lit("[" + ",".join(map(repr, ratios)) + "]"), "array<double>")
+    ratios = [repr(math.log((t + prior) / (r * share + prior))) for r, t in zip(raw, target)]
+    halves = (ratios[: n // 2], ratios[n // 2 :])
+    return tuple(F.from_json(F.lit("[" + ",".join(x) + "]"), "array<double>") for x in halves)
 
 
-def ordered_windows(h: Column) -> Column:
-    """All 3-word windows as (hash, start), in hash order."""
+def triple_hashes(h: Column, pairs: Column) -> Column:
+    """Hashes of all 3-word windows."""
     n = F.greatest(F.size(h) - 2, F.lit(0))
-    triples = F.zip_with(
-        F.arrays_zip(F.slice(h, 1, n).alias("a"), F.slice(h, 2, n).alias("b")),
-        F.slice(h, 3, n),
-        lambda ab, c: F.xxhash64(ab["a"], ab["b"], c),
-    )
-    return F.array_sort(F.transform(triples, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    return F.zip_with(F.slice(pairs, 1, n), F.slice(h, 3, n), lambda ab, c: F.xxhash64(ab, c))
+
+
+def ordered_windows(triples: Column) -> Column:
+    """All windows as (hash, start) in hash order; none where no window occurs twice."""
+    again = F.size(F.array_distinct(triples)) < F.size(triples)
+    looked_at = F.when(again, triples).otherwise(F.slice(triples, 1, 0))
+    return F.sort_array(F.transform(looked_at, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
 
 
 def repeated_starts(ordered: str) -> Column:
@@ -93,20 +101,22 @@ def repeated_starts(ordered: str) -> Column:
             x["i"],
         ),
     )
-    return F.array_sort(F.array_compact(same))
+    return F.sort_array(F.array_compact(same))
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with _h (word hashes) and the base columns, each computed once per row."""
+    """``docs`` with _h and _p (hashes of words and pairs) and the base columns, each computed once per row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("_h", hashes(words(text)))
+    rows = rows.withColumn("_p", pair_hashes(F.col("_h")))
+    rows = rows.withColumn("_t", triple_hashes(F.col("_h"), F.col("_p")))
     rows = rows.withColumns(
         {
             "n_words": F.size("_h").cast("long"),
             "word_chars": F.length(F.regexp_replace(text, SPACES, "")).cast("long"),
             "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
             "_lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-            "_windows": ordered_windows(F.col("_h")),
+            "_windows": ordered_windows(F.col("_t")),
         }
     )
     # a column that a lambda reads is computed before, else it would be computed per element
@@ -125,7 +135,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
         }
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).drop("_lines", "_windows", "_starts")
+    return rows.withColumn("base_failed", failed).drop("_lines", "_windows", "_starts", "_t")
 
 
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bits: int = BITS, most: int = TRUSTED) -> DataFrame:
@@ -134,13 +144,13 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bit
     NULL and empty texts have no words and fail the base rules. Without trusted documents every
     score is 0, so only the base rules decide. Repeated rows are judged alike.
     """
-    table = log_ratios(bucket_counts(docs, trusted_ids(labels, most), bits), bits)
+    of_word, of_pair = log_ratios(bucket_counts(docs, trusted_ids(labels, most), bits), bits)
     rows = base_measures(docs)
-    grams = buckets(F.col("_h"), bits)
-    total = F.aggregate(grams, F.lit(0.0), lambda a, b: a + _pick(table, b))
+    total = F.aggregate("_h", F.lit(0.0), lambda a, x: a + _pick(of_word, _bucket(x, bits)))
+    total = total + F.aggregate("_p", F.lit(0.0), lambda a, x: a + _pick(of_pair, _bucket(x, bits)))
     count = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     rows = rows.withColumn("_score", total / count)
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("_score") >= threshold)).drop("_h")
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("_score") >= threshold)).drop("_h", "_p")
 
 
 def rule_digest(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
