@@ -199,8 +199,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without a benchmark window, with their own columns."""
-    rows = contaminated_spans(docs.select(F.struct("*").alias("doc_id"), "text"), benchmark, **options)
-    return rows.where(F.size("starts") == 0).select(*[F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns])
+    # the text travels once
+    rest = F.struct(F.lit(0).alias("__filled"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rows = contaminated_spans(docs.select(rest.alias("doc_id"), "text"), benchmark, **options)
+    columns = [F.col(c) if c == "text" else F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns]
+    return rows.where(F.size("starts") == 0).select(*columns)
 
 
 @F.pandas_udf(T.StringType())
