@@ -12,6 +12,8 @@
    checked against its most alike ones; the confirmed links give components. Then the next
    ``NEIGHBOURS`` rows are candidates if they belong to another component, and all of these are
    checked. This is repeated with the hashes dealt to new orders until a turn finds no new link.
+   Prefixes of the last turn with more rows than that, and more than one component, are then
+   compared completely: all pairs of rows of different components, block by block.
 4. All checks are made on the full sets. Components come from alternating star contractions of the
    confirmed links.
 """
@@ -34,6 +36,8 @@ HASHES = TREES * DEPTH
 SIMILAR = 80  # per cent of the union
 #: agreeing half bytes of two signatures below which a pair is not checked
 AGREE = int(0.8125 * HASHES - 5 * (0.8125 * 0.1875 * HASHES) ** 0.5)
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000  # of a block of a crowded prefix
+COLUMNS = 4096  # shingles of a block counted at once
 FEW_IDS = 2_000_000  # ids that may be broadcast (32 MB)
 
 _FACTORS = (tokens.mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
@@ -95,16 +99,21 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def _ordered_keys(classes: DataFrame, turn: int, depth: int, *columns: str) -> DataFrame:
+    """tree, key (the first ``depth`` hashes of that order) and ``columns`` of each class and order.
+    Every ``turn`` deals the hashes to the orders anew."""
+    deal = 2 * turn * 13 + 1  # odd, so that all hashes are used
+    pieces = [f"substring(signature, (tree * {DEPTH} + {i}) * {deal} % {HASHES} * 4 + 1, 4)" for i in range(depth)]
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    rows = classes.select("signature", *columns, tree.alias("tree"))
+    return rows.select("tree", F.expr(f"concat({', '.join(pieces)})").alias("key"), *columns)
+
+
 def candidates(classes: DataFrame, reach: int, turn: int = 0) -> DataFrame:
     """Distinct pairs (a < b) of neighbours in the orders, up to ``reach`` rows apart, in different
     components, with the number of agreeing half bytes; ``classes`` has node, root (its component),
     signature and short. Pairs across the bounds of key ranges are few and have the least number. Every ``turn`` deals the hashes to the orders anew."""
-    deal = 2 * turn * 13 + 1  # odd, so that all hashes are used
-    pieces = [f"substring(signature, (tree * {DEPTH} + {i}) * {deal} % {HASHES} * 4 + 1, 4)" for i in range(DEPTH)]
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    rows = classes.select("node", "root", "signature", "short", tree.alias("tree")).select(
-        "tree", F.expr(f"concat({', '.join(pieces)})").alias("key"), "node", "root", "short"
-    )
+    rows = _ordered_keys(classes, turn, DEPTH, "node", "root", "short")
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
     def pairs(trees, keys, nodes, roots, shorts):
@@ -195,14 +204,18 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that reach the threshold on their full sets. Only texts of pairs are read again."""
-    pairs = stage(pairs.select("a", "b"), "pairs")
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "in-pairs")
+def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and hashes of the texts whose id is a node of ``ids``. Only these texts are read again."""
     wanted = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     few = ids.count() <= FEW_IDS
     wanted = wanted.join(F.broadcast(ids) if few else ids, F.col("_id") == F.col("node"), "left_semi")
-    sets = stage(shingle_sets(wanted), "sets")
+    return stage(shingle_sets(wanted), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that reach the threshold on their full sets. Only texts of pairs are read again."""
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    sets = _sets_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "in-pairs"), docs)
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     rows = pairs.join(right, "b").join(left, "a")
@@ -210,6 +223,82 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(both.where(100 * F.col("both") >= SIMILAR * (F.col("sum") - F.col("both"))).select("a", "b"), "confirmed")
 
 
+def _shared(values: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``."""
+    _, code, seen = np.unique(values, return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1  # a shingle of one set is in no intersection
+    row, kept = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), seen[code] > 1
+    row, code = row[kept], number[code[kept]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+        low, high = np.searchsorted(code, (at, at + COLUMNS))
+        held = np.zeros((len(bounds) - 1, COLUMNS), np.float32)
+        held[row[low:high], code[low:high] - at] = 1
+        out += held[left] @ held[right].T
+    return out
+
+
+def crowded_links(classes: DataFrame, docs: DataFrame, turn: int) -> DataFrame:
+    """The links between components inside the prefixes of a turn that have more rows than
+    ``NEIGHBOURS`` reach: all pairs of rows of different components, on their full sets.
+
+    The rows of a prefix are dealt by hash to blocks of bounded size, and each pair of blocks is a
+    task's group. Rows of the component that has most rows there meet only the rows of others.
+    ``classes`` has node, root, n_shingles and signature.
+    """
+    rows = _ordered_keys(classes, turn, LEAST_DEPTH, "node", "root", "n_shingles")
+    by_root = rows.groupBy("tree", "key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    groups = by_root.groupBy("tree", "key").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.sum("size").alias("size"),
+        F.max(F.struct("n", "root", "size")).alias("most"),
+    ).where(f"n > {NEIGHBOURS + 1} and roots > 1")
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+    groups = stage(
+        groups.select(
+            "tree", "key", F.col("most.root").alias("main"), blocks(F.col("most.n"), F.col("most.size")).alias("mains"),
+            blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("others"),
+        ),
+        "crowded",
+    )
+    members = stage(rows.join(groups, ["tree", "key"]).withColumn("is_main", F.col("root") == F.col("main")), "members")
+    sets = _sets_of(stage(members.select("node").distinct(), "in-crowded"), docs)
+    # a cell is a pair of blocks; blocks of the main component have negative numbers
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")).cast("long")).cast("int")
+    count = F.sequence(F.lit(0), F.col("others") - 1)
+    main_cells = F.transform(count, lambda j: F.struct((-1 - own).alias("x"), j.alias("y")))
+    other_cells = F.concat(
+        F.transform(count, lambda j: F.struct(F.least(own, j).alias("x"), F.greatest(own, j).alias("y"))),
+        F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: F.struct((-1 - j).alias("x"), own.alias("y"))),
+    )
+    cells = members.select(
+        "tree", "key", "node", "root", own.alias("own"), "is_main",
+        F.explode(F.when(F.col("is_main"), main_cells).otherwise(other_cells)).alias("cell"),
+    )
+    side = F.when(F.col("is_main"), F.col("cell.x")).otherwise(F.col("own"))
+    dealt = cells.select("tree", "key", "cell.x", "cell.y", side.alias("side"), "node", "root").join(sets, "node")
+
+    def link(table: pa.Table) -> pa.Table:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        side, node, root = (table.column(c).to_numpy() for c in ("side", "node", "root"))
+        hashes = table.column("hashes").combine_chunks()
+        sizes = hashes.value_lengths().to_numpy().astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        left, right = np.flatnonzero(side == x), np.flatnonzero(side == y)
+        both = _shared(hashes.flatten().to_numpy(), bounds, left, right)
+        near = 100 * both >= SIMILAR * (sizes[left][:, None] + sizes[right][None, :] - both)
+        i, j = np.nonzero(near & (root[left][:, None] != root[right][None, :]))
+        a, b = node[left[i]], node[right[j]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    found = dealt.groupBy("tree", "key", "x", "y").applyInArrow(link, "a long, b long")
+    return stage(found.distinct(), "crowded-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for all nodes of ``links`` (a, b).
 
@@ -250,7 +339,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         linked.withColumnRenamed("doc_id", "node")
         .join(members, ["set_high", "set_low", "node"])
         .dropDuplicates(["node", "set_high", "set_low"])
-        .select("node", "signature", "short"),
+        .select("node", "n_shingles", "signature", "short"),
         "classes",
     )
     near = stage(candidates(heads.withColumn("root", F.col("node")), 1), "near")
@@ -273,7 +362,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if more.isEmpty():
             break
         links, checked = links.unionAll(more), checked.unionAll(apart)
-    final = roots
+    # the last turn compared all rows of different components in the prefixes that its neighbours span
+    crowded = crowded_links(known, docs, turn)
+    final = roots if crowded.isEmpty() else components(links.unionAll(crowded))
 
     # a node's root; then all members of its class, and of classes that share its id
     named = members.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -150,6 +150,28 @@ def test_boilerplate_lines(spark, tiny_docs):
     assert {r["doc_id"]: r["text"] for r in rows_of(spark, "op5_line_spread")} == want
 
 
+def test_links_in_a_crowd_of_template_texts(spark):
+    """Texts of one template, alike at about 0.7, with one link of 0.8 and no shingle that is rare."""
+    rng = np.random.default_rng(7)
+    n, slots = 2000, 225
+    picks = [set(rng.choice(slots, 22, replace=False).tolist()) for _ in range(n)]
+    planted = [(i, 1999 - 610 * i) for i in range(3)]
+    for a, b in planted:
+        others = [x for x in range(slots) if x not in picks[a]]
+        picks[b] = set(sorted(picks[a])[::2][:10]) | set(rng.choice(others, 12, replace=False).tolist())
+    docs = [(i, " ".join(f"{'alt' if w % 4 == 0 and w // 4 in p else 't'}{w}" for w in range(4 * slots))) for i, p in enumerate(picks)]
+    # a word of a slot is in four shingles of its own, the first word in one
+    state = np.array([[x in p for x in range(slots)] for p in picks], float)
+    size = np.array([1.0] + [4.0] * (slots - 1))
+    both = (state * size) @ state.T + ((1 - state) * size) @ (1 - state).T
+    links = np.argwhere(np.triu(100 * both >= 80 * (2 * size.sum() - both), 1)).tolist()
+    assert [2, 779] in links and len(links) < 30
+    gone = {b for a, b in links if a != 2}
+    docs = [(i, text) for i, text in docs if i not in gone]
+    rows = minhash_forest.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(8)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: 2 if i == 779 else i for i, _ in docs}
+
+
 def test_spread_of_hot_and_near_lines(spark):
     from tallyloom.llm import line_dedup
 
