@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
     decontamination,
+    fill_in_middle,
     language_id,
     line_dedup,
     lm_scoring,
@@ -81,3 +82,8 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fim_digest(table(spark, sf_dir, "documents"))

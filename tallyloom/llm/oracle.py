@@ -6,6 +6,7 @@ from tallyloom.llm.line_dedup import MIN_SITES
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
+_UNIT = r"'[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 _MIX = rf"""
@@ -99,9 +100,36 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(h.n_hit, 0) as n_
 from docs d left join hit h using (k) left join named m using (k)
 """
 
+_FIM = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as hx from documents),
+u as (
+  select doc_id, t, regexp_extract_all(t, {_UNIT}) as toks,
+         cast('0x' || substr(hx, 1, 8) as bigint) as h1, cast('0x' || substr(hx, 9, 8) as bigint) as h2,
+         cast('0x' || substr(hx, 17, 8) as bigint) as h3, cast('0x' || substr(hx, 25, 8) as bigint) as h4
+  from d),
+k as (
+  select *, least(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) as k1, greatest(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) as k2,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain'
+              when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from u),
+p as (
+  select *, array_to_string(toks[1 : k1], '') as pre, array_to_string(toks[k1 + 1 : k2], '') as mid,
+         array_to_string(toks[k2 + 1 : len(toks)], '') as suf
+  from k)
+select doc_id, cast(len(toks) as bigint) as n, form,
+       case when form = 'plain' then null else cast(length(pre) as bigint) end as prefix_chars,
+       case when form = 'plain' then null else cast(length(mid) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIX,
     "op4_minhash_forest": _NEAR,
     "op5_line_spread": _LINES,
     "op6_fm_index": _HITS,
+    "op11_fill_in_middle": _FIM,
 }
