@@ -18,6 +18,7 @@ from tallyloom.llm import (
     quality_model,
     quality_rules,
     sharding,
+    simhash,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +88,8 @@ def op10_fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fim_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
