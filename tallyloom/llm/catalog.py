@@ -10,6 +10,7 @@ from tallyloom.llm import (
     decontamination,
     fill_in_middle,
     language_id,
+    lexical_search,
     line_dedup,
     lm_scoring,
     minhash_forest,
@@ -93,3 +94,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -126,10 +126,39 @@ select doc_id, cast(len(toks) as bigint) as n, form,
 from p
 """
 
+_TERM_BREAK = r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+_SEARCH = rf"""
+with d as (
+  select doc_id, row_number() over () as k,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), {_TERM_BREAK}), lambda x: x <> '') as t
+  from documents),
+s as (select count(*) filter (where len(t) > 0) as nn, sum(len(t)) as ll from d),
+p as (
+  select k, doc_id, n, term, count(*) as tf
+  from (select k, doc_id, len(t) as n, unnest(t) as term from d) group by k, doc_id, n, term),
+f as (
+  select term, cast(floor(1000 * ln((2.0 * s.nn + 2) / (2.0 * count(*) + 1))) as bigint) as w
+  from p, s group by term, s.nn),
+q as (
+  select distinct item_id, term from (
+    select item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), {_TERM_BREAK}), lambda x: x <> '')) as term
+    from benchmark)),
+sc as (
+  select q.item_id, p.k, p.doc_id,
+         sum(f.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * p.n * s.nn) // s.ll)))) as score
+  from q join p using (term) join f using (term), s group by q.item_id, p.k, p.doc_id),
+r as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id asc nulls last, k) as rank
+  from sc where score > 0)
+select item_id, cast(rank as integer) as rank, cast(doc_id as bigint) as doc_id, cast(score as bigint) as score
+from r where rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIX,
     "op4_minhash_forest": _NEAR,
     "op5_line_spread": _LINES,
     "op6_fm_index": _HITS,
     "op11_fill_in_middle": _FIM,
+    "op12_lexical_search": _SEARCH,
 }
