@@ -79,9 +79,13 @@ def cusum_series_in_blocks(
     target: float = 0.0,
     slack: float = CUSUM_SLACK,
     threshold: float = CUSUM_THRESHOLD,
+    start: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The same series for keys of any length, one task per (key, block) instead of per key.
 
+    ``start`` names two columns, equal within a key, with the sums that a key starts from
+    (upper >= 0, lower <= 0; a carried state); by default both are zero.
+
     ``block`` must not decrease in the order (an hour, a minute); choose it so fine that one
     block of the busiest key fits a task. Every block runs from zero;
     a block turns an incoming sum s into max(end, s + total), so the sums that enter the
@@ -113,9 +117,11 @@ def cusum_series_in_blocks(
     carried = blocks.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(by)], "__up0", "__down0", "__low0", "__high0")
     # rows without a key or a block are a key or a block of their own
     same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(by)]
-    up, down = F.col("__up0") + F.col("__up"), F.col("__down0") + F.col("__down")
-    low = F.least(F.lit(0.0), F.col("__low0"), F.col("__up0") + F.col("__low"))
-    high = F.greatest(F.lit(0.0), F.col("__high0"), F.col("__down0") + F.col("__high"))
+    # from a start s: sums s + running total, less the lowest (highest) of 0 and s + earlier totals
+    pos0, neg0 = (F.col(c) for c in start) if start else (F.lit(0.0), F.lit(0.0))
+    up, down = pos0 + F.col("__up0") + F.col("__up"), neg0 + F.col("__down0") + F.col("__down")
+    low = F.least(F.lit(0.0), pos0 + F.col("__low0"), pos0 + F.col("__up0") + F.col("__low"))
+    high = F.greatest(F.lit(0.0), neg0 + F.col("__high0"), neg0 + F.col("__down0") + F.col("__high"))
     joined = local.join(carried, same).withColumns(
         {"cusum_pos": up - low, "cusum_neg": down - high}
     )

@@ -51,7 +51,8 @@ from tallyloom.sources.tables import (
     write_json_report,
     write_raw_tables,
 )
-from tallyloom.streaming import drain, drain_updates, read_stream, stream_cusum, stream_quality
+from tallyloom.streaming import drain, drain_updates, read_stream, stream_quality
+from tallyloom.streaming.carried import drain_cusum
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -679,12 +680,15 @@ def _stream_twice(spark: SparkSession, deliveries: list[DataFrame], build) -> Da
 
 @query
 def cusum_stream(spark: SparkSession, sf: str) -> DataFrame:
-    out = _stream_twice(
-        spark,
-        _arrivals(spark, sf, _event_errors(spark, sf)),
-        lambda events: stream_cusum(events, "user_id", "error"),
-    )
-    return tidy(out.drop("ts", "is_late"))
+    """Two deliveries through foreachBatch jobs in hour blocks, continued from carried sums."""
+    base = fresh_folder(spark, "stream")
+    deliveries = _arrivals(spark, sf, _event_errors(spark, sf))
+    for rows in deliveries:
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = read_stream(spark, f"{base}/in", deliveries[0].schema)
+        out = drain_cusum(stream, f"{base}/cusum", f"{base}/checkpoint", "user_id", "error")
+    stamped = out.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).drop("batch")
+    return tidy(stamped)
 
 
 @query

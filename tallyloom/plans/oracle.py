@@ -397,15 +397,15 @@ PARTS: dict[str, tuple[list[str], str]] = {
     ),
     "event_rows": (
         [],
-        """select user_id, event_id, (value - 50) / 10 as error,
+        """select user_id, event_id, ts, (value - 50) / 10 as error,
              row_number() over (partition by user_id order by ts, event_id) as rn from events""",
     ),
     "event_cusum": (
         ["event_rows"],
-        """select user_id, event_id, error, rn, greatest(0.0::double, error - 3) as cusum_pos,
+        """select user_id, event_id, ts, error, rn, greatest(0.0::double, error - 3) as cusum_pos,
              least(0.0::double, error + 3) as cusum_neg from event_rows where rn = 1
            union all
-           select e.user_id, e.event_id, e.error, e.rn, greatest(0.0::double, c.cusum_pos + e.error - 3),
+           select e.user_id, e.event_id, e.ts, e.error, e.rn, greatest(0.0::double, c.cusum_pos + e.error - 3),
              least(0.0::double, c.cusum_neg + e.error + 3)
            from event_cusum c join event_rows e on e.user_id = c.user_id and e.rn = c.rn + 1""",
     ),
@@ -663,7 +663,9 @@ ORACLE: dict[str, str] = {
         "scored",
     ),
     "cusum_per_user": _sql(f"select {EVENT_COLUMNS} from event_cusum", "event_cusum"),
-    "cusum_stream": _sql(f"select {EVENT_COLUMNS} from event_cusum", "event_cusum"),
+    "cusum_stream": _sql(
+        f"select {EVENT_COLUMNS}, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, false as is_late from event_cusum", "event_cusum"
+    ),
     "cusum_mean_residual": _sql(
         f"""select {r('mean_residual', 'mean_residual')}, {r('cusum_pos', 'cusum_pos')}, {r('cusum_neg', 'cusum_neg')},
               (cusum_pos > 5 or abs(cusum_neg) > 5) as drift_detected,
