@@ -21,10 +21,8 @@ from tallyloom.operators.model import (
     cluster_stores,
     feature_columns,
     feature_importance,
-    fit_global_model,
-    load_model,
-    save_model,
     score,
+    stored_model,
 )
 from tallyloom.operators.panel import future_spine, last_date
 from tallyloom.operators.psi import feature_psi, psi_report
@@ -62,8 +60,6 @@ HORIZON = 30
 REGION_DAYS = {"ASIA": (12, 2), "EUROPE": (9, 23)}
 # Adapter threshold of the forecast queries, between the shortest and longest histories.
 FORECAST_MODEL = ModelSettings(min_adapter_rows=420)
-# A small model: the registered queries show the path, the stages fit the full settings.
-SMALL_MODEL = ModelSettings(trees=5, depth=4, learning_rate=0.3)
 
 
 def query(fn: Query) -> Query:
@@ -624,15 +620,14 @@ def _fit(spark: SparkSession, sf: str):
     )
     parts = time_split(stage(features, "model-rows"))
     train = parts.filter(F.col("split") == "train")
-    return fit_global_model(train, feature_columns(features), SMALL_MODEL), parts
+    folder = f"{checkpoint_root(spark)}/models"
+    return stored_model(train, feature_columns(features), folder, ModelSettings()), parts
 
 
 @query
 def gbt_forecast(spark: SparkSession, sf: str) -> DataFrame:
     model, parts = _fit(spark, sf)
-    path = fresh_folder(spark, "model")
-    save_model(model, path)
-    scored = score(parts.filter(F.col("split") == "test"), load_model(path))
+    scored = score(parts.filter(F.col("split") == "test"), model)
     return tidy(scored.select("store_id", "date", "sales_amount", "prediction"))
 
 
@@ -641,6 +636,29 @@ def gbt_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(feature_importance(spark, _fit(spark, sf)[0]))
 
 
+@query
+def gbt_model_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What SQL can state of the stored model: every test row scored with a finite value, a test
+    error below that of the training mean, importances that are not negative and sum to 1."""
+    model, parts = _fit(spark, sf)
+    mean = parts.filter(F.col("split") == "train").agg(F.avg("sales_amount")).first()[0]
+    scored = score(parts.filter(F.col("split") == "test"), model)
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    errors = scored.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.count(F.when(finite, 1)).alias("finite_predictions"),
+        F.avg((F.col("prediction") - F.col("sales_amount")) ** 2).alias("model_mse"),
+        F.avg((F.lit(mean) - F.col("sales_amount")) ** 2).alias("mean_mse"),
+    )
+    weights = feature_importance(spark, model, top=None).agg(
+        F.round(F.sum("importance"), 6).alias("importance_sum"), F.count(F.when(F.col("importance") < 0, 1)).alias("negative_importances")
+    )
+    checks = errors.crossJoin(weights).select(
+        "test_rows", "finite_predictions", (F.col("model_mse") < F.col("mean_mse")).alias("beats_mean"), "importance_sum", "negative_importances"
+    )
+    return tidy(checks)
+
+
 @query
 def store_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(cluster_stores(stage(retail.store_dim(spark, sf), "stores")))

@@ -568,6 +568,11 @@ ORACLE: dict[str, str] = {
     ),
     "feature_table": _sql(f"select {_columns(FEATURE_COLUMNS)} from features", "features"),
     "split_by_time": _sql("select store_id, date, split from parts", "parts"),
+    "gbt_model_checks": _sql(
+        """select count(*)::bigint as test_rows, count(*)::bigint as finite_predictions, true as beats_mean,
+             1.0::double as importance_sum, 0::bigint as negative_importances from parts where split = 'test'""",
+        "parts",
+    ),
     "split_baseline": _sql("select store_id, date, period from parts", "parts"),
     "accuracy_metrics": _sql(
         f"""select split, {_accuracy('prediction', '', 'sales_amount > 1')},
