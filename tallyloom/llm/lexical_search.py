@@ -60,6 +60,19 @@ def _sized(df: DataFrame, limit: int = FEW_QUERY_TERMS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def _forget(staged: DataFrame | None) -> None:
+    """Delete a staged table that no later plan reads, through the file system of its path."""
+    if staged is None:
+        return
+    files = staged.inputFiles()
+    if not files:
+        return
+    spark = staged.sparkSession
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _top(scored: DataFrame, key: str, k: int) -> DataFrame:
     """The k best rows of every ``key`` by score, doc_id (NULL last), row; in two levels."""
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
@@ -74,17 +87,14 @@ def postings(docs: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame,
 
     ``part`` is a term's fraction in the document, (10**9 tf) div (1000 tf + 8 m).
     """
-    parsed = stage(
-        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", terms_of(F.col("text")).alias("terms")).withColumn(
-            "n", F.size("terms")
-        ),
-        "search-terms",
-    )
-    stats = parsed.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    terms = terms_of(F.col("text"))
+    stats = docs.agg(F.count(F.when(F.size(terms) > 0, 1)).alias("N"), F.coalesce(F.sum(F.size(terms)), F.lit(0)).alias("L")).first()
     big_n, big_l = int(stats["N"]), int(stats["L"])
     wanted = queries.select(F.explode(terms_of(F.col("text"))).alias("term")).distinct()
     wanted = stage(wanted, "search-query-terms")
-    found = parsed.select("row", "doc_id", "n", F.explode("terms").alias("term")).join(_sized(wanted), "term", "left_semi")
+    parsed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", terms.alias("terms"))
+    parsed = parsed.select("row", "doc_id", F.size("terms").alias("n"), F.explode("terms").alias("term"))
+    found = parsed.join(_sized(wanted), "term", "left_semi")
     counted = found.groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
     m = F.lit(LENGTH_BASE - LENGTH_SHARE) + F.expr(f"({LENGTH_SHARE}L * n * {big_n}L) div {max(big_l, 1)}L")
     part = F.expr(f"({TF_SCALE}L * tf) div ({TF_WEIGHT} * tf + {LENGTH_WEIGHT} * m)")
@@ -120,7 +130,9 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         made = listed.join(_sized(block), "term").select("item_id", "row", "doc_id", (F.col("w") * F.col("part")).alias("score"))
         if accumulators is not None:
             made = made.unionByName(accumulators)
+        older = accumulators
         accumulators = stage(made.groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score")), "search-accumulators")
+        _forget(older)
         kth = _top(accumulators, "item_id", top).where(F.col("rank") == top).select("item_id", F.col("score").alias("kth"))
         rest = asked.where(F.col("r") == hi + 1).select("item_id", "rest")
         still = items if stopped is None else items.join(stopped, "item_id", "left_anti")
@@ -128,7 +140,9 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         newly = judged.where(
             F.col("rest").isNull() | (F.col("rest") < F.greatest(F.coalesce("kth", F.lit(0)), F.lit(1)))
         ).select("item_id", F.lit(hi + 1).alias("stop"))
+        older = stopped
         stopped = stage(newly if stopped is None else stopped.unionByName(newly), "search-stopped")
+        _forget(older)
         if stopped.count() == n_items:
             break
         lo = hi + 1
