@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.rules import cusum_direction, cusum_drift
 from tallyloom.settings import CUSUM_SLACK, CUSUM_THRESHOLD
@@ -87,43 +91,55 @@ def cusum_series_in_blocks(
     (upper >= 0, lower <= 0; a carried state); by default both are zero.
 
     ``block`` must not decrease in the order (an hour, a minute); choose it so fine that one
-    block of the busiest key fits a task. Every block runs from zero;
-    a block turns an incoming sum s into max(end, s + total), so the sums that enter the
-    blocks follow from one row per block, and rows are then shifted by what entered.
-    The rows are shuffled once, by (key, block).
+    block of the busiest key fits a task. Every block runs from zero; a block turns an entering
+    sum s into max(end, s + total), so the sums that enter the blocks follow from one summary
+    row per block, carried block by block in a grouped pandas step over the summaries of a key
+    (its number of blocks, not of rows), and a row's sum is max(its sum from zero, s + its
+    running total in the block). No total grows beyond one block, so long series keep their
+    precision. The rows are shuffled once, by (key, block).
     """
     spec = W.partitionBy(*keys, "__block").orderBy(*order)
     local = _zero_start(df.withColumn("__block", block), spec, F.col(value) - F.lit(target), slack)
+    pos0, neg0 = (F.col(c) for c in start) if start else (F.lit(0.0), F.lit(0.0))
     blocks = local.groupBy(*keys, "__block").agg(
         F.max(F.struct(*order, F.col("__up").alias("up"), F.col("__down").alias("down"))).alias("end"),
         F.min("__up").alias("low"),
         F.max("__down").alias("high"),
+        F.first(pos0).alias("__pos0"),
+        F.first(neg0).alias("__neg0"),
     )
-    earlier = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    # Running totals over blocks give the same closed form one level up: the lowest running
-    # sum before a block is the lowest, over earlier blocks, of (total before it + its low).
-    blocks = blocks.withColumns(
-        {
-            "__up0": F.coalesce(F.sum("end.up").over(earlier), F.lit(0.0)),
-            "__down0": F.coalesce(F.sum("end.down").over(earlier), F.lit(0.0)),
-        }
-    ).withColumns(
-        {
-            "__low0": F.coalesce(F.min(F.col("__up0") + F.col("low")).over(earlier), F.lit(0.0)),
-            "__high0": F.coalesce(F.max(F.col("__down0") + F.col("high")).over(earlier), F.lit(0.0)),
-        }
-    )
+    # A block turns an entering sum s into max(end, s + total) (upper) and min(end, s + total)
+    # (lower); the entering sums follow block by block, one summary row per (key, block).
+    summary = blocks.select(
+        *keys, "__block", "__pos0", "__neg0",
+        (F.col("end.up") - F.least(F.lit(0.0), "low")).alias("__end_up"), F.col("end.up").alias("__total_up"),
+        (F.col("end.down") - F.greatest(F.lit(0.0), "high")).alias("__end_down"), F.col("end.down").alias("__total_down"),
+    )
     by = [*keys, "__block"]
-    carried = blocks.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(by)], "__up0", "__down0", "__low0", "__high0")
+    schema = T.StructType([*(summary.schema[c] for c in by), T.StructField("__in_up", T.DoubleType()), T.StructField("__in_down", T.DoubleType())])
+
+    def entering(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("__block", na_position="first", kind="stable")
+        up, down = float(frame["__pos0"].iloc[0]), float(frame["__neg0"].iloc[0])
+        ins_up, ins_down = np.empty(len(frame)), np.empty(len(frame))
+        ends_up, totals_up = frame["__end_up"].to_numpy(), frame["__total_up"].to_numpy()
+        ends_down, totals_down = frame["__end_down"].to_numpy(), frame["__total_down"].to_numpy()
+        for j in range(len(frame)):
+            ins_up[j], ins_down[j] = up, down
+            up, down = max(ends_up[j], up + totals_up[j]), min(ends_down[j], down + totals_down[j])
+        return frame[by].assign(__in_up=ins_up, __in_down=ins_down)
+
+    carried = summary.groupBy(*keys).applyInPandas(entering, schema)
+    carried = carried.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(by)], "__in_up", "__in_down")
     # rows without a key or a block are a key or a block of their own
     same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(by)]
-    # from a start s: sums s + running total, less the lowest (highest) of 0 and s + earlier totals
-    pos0, neg0 = (F.col(c) for c in start) if start else (F.lit(0.0), F.lit(0.0))
-    up, down = pos0 + F.col("__up0") + F.col("__up"), neg0 + F.col("__down0") + F.col("__down")
-    low = F.least(F.lit(0.0), pos0 + F.col("__low0"), pos0 + F.col("__up0") + F.col("__low"))
-    high = F.greatest(F.lit(0.0), neg0 + F.col("__high0"), neg0 + F.col("__down0") + F.col("__high"))
+    local_up = F.col("__up") - F.least(F.lit(0.0), F.col("__low"))
+    local_down = F.col("__down") - F.greatest(F.lit(0.0), F.col("__high"))
     joined = local.join(carried, same).withColumns(
-        {"cusum_pos": up - low, "cusum_neg": down - high}
+        {
+            "cusum_pos": F.greatest(local_up, F.col("__in_up") + F.col("__up")),
+            "cusum_neg": F.least(local_down, F.col("__in_down") + F.col("__down")),
+        }
     )
     return cusum_flags(joined.select(*df.columns, "cusum_pos", "cusum_neg"), threshold)
 

@@ -133,6 +133,24 @@ def test_cusum_in_blocks_equals_recurrence_with_one_hot_key(spark):
         np.testing.assert_allclose(got, [expected[r.i] for r in found], atol=1e-8)
 
 
+def test_cusum_in_blocks_keeps_precision_after_large_totals(spark):
+    """Earlier blocks drift by -1e12 a row (totals near -1e16); later blocks add 0.2 a row.
+
+    A difference of two running totals of that size rounds to units of 2; the entering sums
+    carried block by block keep the small upper sums exact.
+    """
+    values = [-1e12] * 10000 + [3.2] * 200 + [-2.9] * 200
+    pdf = pd.DataFrame({"k": 0, "i": np.arange(len(values)), "e": values})
+    df = spark.createDataFrame(pdf).repartition(4)
+    blocks = cusum_series_in_blocks(df, ["k"], ["i"], "e", F.floor(F.col("i") / 100))
+    found = sorted(blocks.collect(), key=lambda r: r.i)
+    got = np.array([(r.cusum_pos, r.cusum_neg) for r in found])
+    expected = np.array(recurrence(values))
+    np.testing.assert_allclose(got[10000:, 0], expected[10000:, 0], rtol=0, atol=1e-9)
+    # the lower sum itself is near -1e16; it agrees to the precision of doubles
+    np.testing.assert_allclose(got[:, 1], expected[:, 1], rtol=1e-12)
+
+
 def test_cusum_restarts_with_a_segment(spark):
     rows = [("a", i, i // 3, 6.0) for i in range(6)]
     df = spark.createDataFrame(rows, "k string, i int, part int, e double")
