@@ -25,6 +25,7 @@ from tallyloom.operators.model import (
     stored_model,
 )
 from tallyloom.operators.panel import future_spine, last_date
+from tallyloom.operators.planning import planning_aggregates
 from tallyloom.operators.psi import feature_psi, psi_report
 from tallyloom.operators.split import baseline_split, time_split
 from tallyloom.operators.windows import (
@@ -273,6 +274,13 @@ def split_baseline(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(baseline_split(retail.sales_table(spark, sf)).select("store_id", "date", "period"))
 
 
+@query
+def planning_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly and monthly totals per brand and country, per brand, per country, per period and
+    overall: nine grouping sets, one shuffle of partial sums."""
+    return tidy(planning_aggregates(retail.panel(spark, sf)))
+
+
 @query
 def accuracy_metrics(spark: SparkSession, sf: str) -> DataFrame:
     y, p = F.col("sales_amount"), F.col("prediction")

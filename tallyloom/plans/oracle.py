@@ -574,6 +574,19 @@ ORACLE: dict[str, str] = {
         "parts",
     ),
     "split_baseline": _sql("select store_id, date, period from parts", "parts"),
+    "planning_totals": _sql(
+        f"""select case when grouping(wk) = 0 then 'week' when grouping(mo) = 0 then 'month' else 'all' end as grain,
+             coalesce(wk, mo) as period_start, brand_id, country,
+             cast(grouping(wk, mo, brand_id, country) as bigint) as level, count(*) as row_count,
+             {r('sum(sales_amount)', 'amount_total')}, cast(sum(num_transactions) as bigint) as count_total,
+             cast(sum(promotion_flag) as bigint) as flagged_rows,
+             {r('sum(sales_amount) / count(*)', 'amount_per_row')}
+           from (select *, cast(date_trunc('week', date) as date) as wk,
+                   cast(date_trunc('month', date) as date) as mo from panel) p
+           group by grouping sets ((wk, brand_id, country), (wk, brand_id), (wk, country), (wk),
+             (mo, brand_id, country), (mo, brand_id), (mo, country), (mo), ())""",
+        "panel",
+    ),
     "accuracy_metrics": _sql(
         f"""select split, {_accuracy('prediction', '', 'sales_amount > 1')},
               count(*) filter (where sales_amount > 1) as valid_rows from scored group by split""",
