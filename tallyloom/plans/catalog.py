@@ -25,6 +25,7 @@ from tallyloom.operators.model import (
     stored_model,
 )
 from tallyloom.operators.panel import future_spine, last_date
+from tallyloom.operators.factors import fit_factors
 from tallyloom.operators.planning import planning_aggregates
 from tallyloom.operators.psi import feature_psi, psi_report
 from tallyloom.operators.split import baseline_split, time_split
@@ -281,6 +282,12 @@ def planning_totals(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(planning_aggregates(retail.panel(spark, sf)))
 
 
+@query
+def brand_country_store_factors(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sales as brand baseline x country factor x store factor, fixed rounds."""
+    return tidy(fit_factors(retail.panel(spark, sf)))
+
+
 @query
 def accuracy_metrics(spark: SparkSession, sf: str) -> DataFrame:
     y, p = F.col("sales_amount"), F.col("prediction")

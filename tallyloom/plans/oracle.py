@@ -7,6 +7,7 @@ ones a query needs in front of it.
 from __future__ import annotations
 
 from tallyloom.operators.drift import ADVICE
+from tallyloom.operators.factors import ROUNDS
 from tallyloom.plans.catalog import DRIFT_CASES, EXACT, FORECAST_MODEL, HORIZON, REGION_DAYS
 from tallyloom.settings import FUTURE_EXTERNALS, LAGS, WINDOWS
 
@@ -429,6 +430,42 @@ def _sql(final: str, *needs: str) -> str:
     return word + " " + ",\n".join(f"{name} as ({PARTS[name][1]})" for name in ordered) + "\n" + final
 
 
+def _factors(rounds: int = ROUNDS) -> str:
+    """The same rounds of proportional updates as the query, one table expression a step."""
+    parts = [
+        """cells as (select brand_id, country, store_id, count(*) as n, sum(sales_amount) as y
+             from panel where sales_amount is not null group by all)""",
+        "c0 as (select distinct country, 1.0::double as f from cells)",
+        "s0 as (select distinct store_id, 1.0::double as f from cells)",
+    ]
+
+    def update(k: str, a: str, ka: str, b: str, kb: str, target: str) -> str:
+        return f"""{target} as (select x.{k}, case when sum(x.n * pa.f * pb.f) > 0
+               then sum(x.y) / sum(x.n * pa.f * pb.f) else 0.0::double end as f
+             from cells x join {a} pa on x.{ka} is not distinct from pa.{ka}
+             join {b} pb on x.{kb} is not distinct from pb.{kb} group by x.{k})"""
+
+    for i in range(1, rounds + 1):
+        parts += [
+            update("brand_id", f"c{i - 1}", "country", f"s{i - 1}", "store_id", f"rb{i}"),
+            update("country", f"rb{i}", "brand_id", f"s{i - 1}", "store_id", f"rc{i}"),
+            update("store_id", f"rb{i}", "brand_id", f"rc{i}", "country", f"rs{i}"),
+            f"mc{i} as (select coalesce(nullif(avg(f), 0), 1.0::double) as m from rc{i})",
+            f"ms{i} as (select coalesce(nullif(avg(f), 0), 1.0::double) as m from rs{i})",
+            f"c{i} as (select country, f / (select m from mc{i}) as f from rc{i})",
+            f"s{i} as (select store_id, f / (select m from ms{i}) as f from rs{i})",
+            f"b{i} as (select brand_id, f * ((select m from mc{i}) * (select m from ms{i})) as f from rb{i})",
+        ]
+    last = rounds
+    final = f"""select x.brand_id, x.country, x.store_id, x.n as rows, {r('x.y', 'total')},
+         {r('b.f', 'brand_base')}, {r('c.f', 'country_factor')}, {r('s.f', 'store_factor')},
+         {r('x.n * b.f * c.f * s.f', 'fitted_total')}
+       from cells x join b{last} b on x.brand_id is not distinct from b.brand_id
+       join c{last} c on x.country is not distinct from c.country
+       join s{last} s on x.store_id is not distinct from s.store_id"""
+    return ",\n".join(parts) + "\n" + final
+
+
 def _columns(names: list[str]) -> str:
     return ", ".join(c if c in TEXT else n(c, c) if c in WHOLE else r(c, c) for c in names)
 
@@ -587,6 +624,7 @@ ORACLE: dict[str, str] = {
              (mo, brand_id, country), (mo, brand_id), (mo, country), (mo), ())""",
         "panel",
     ),
+    "brand_country_store_factors": _sql(", " + _factors(), "panel"),
     "accuracy_metrics": _sql(
         f"""select split, {_accuracy('prediction', '', 'sales_amount > 1')},
               count(*) filter (where sales_amount > 1) as valid_rows from scored group by split""",

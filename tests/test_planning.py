@@ -59,3 +59,32 @@ def test_one_shuffle_of_partial_sums(spark):
     assert plan.count("Expand") == 1
     # the repartition of the input and the one exchange of the aggregation
     assert plan.count("Exchange") == 2
+
+
+def test_factors_fit_nested_stores_and_keep_null_levels(spark):
+    from tallyloom.operators.factors import fit_factors
+
+    facts = [
+        ("b1", "c1", 1, 10.0), ("b1", "c1", 1, 10.0), ("b1", "c2", 2, 30.0), ("b2", "c1", 3, 4.0),
+        ("b2", "c2", 4, 0.0), (None, "c2", 5, 8.0), ("b2", None, 6, 2.0), ("b2", "c1", 7, None),
+    ]
+    df = spark.createDataFrame(facts, "brand_id string, country string, store_id long, sales_amount double")
+    found = {r.store_id: r for r in fit_factors(df, rounds=3).collect()}
+    # store 7 has no value: no cell; every other store is a cell of its own
+    assert sorted(found) == [1, 2, 3, 4, 5, 6]
+    assert found[1].rows == 2 and found[1].total == 20.0
+    for r in found.values():
+        # each store is in one cell, so its factor fits the cell's total exactly
+        assert abs(r.fitted_total - r.total) < 1e-9 * max(1.0, r.total)
+    stores = [r.store_factor for r in found.values()]
+    assert abs(sum(stores) / len(stores) - 1) < 1e-12
+    countries = {r.country: r.country_factor for r in found.values()}
+    assert None in countries and abs(sum(countries.values()) / len(countries) - 1) < 1e-12
+    assert found[4].store_factor == 0.0
+
+
+def test_factors_of_nothing(spark):
+    from tallyloom.operators.factors import fit_factors
+
+    df = spark.createDataFrame([], "brand_id string, country string, store_id long, sales_amount double")
+    assert fit_factors(df, rounds=2).collect() == []
