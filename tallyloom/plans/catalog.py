@@ -25,6 +25,7 @@ from tallyloom.operators.model import (
     stored_model,
 )
 from tallyloom.operators.panel import future_spine, last_date
+from tallyloom.operators.coldstart import cold_start_forecasts
 from tallyloom.operators.factors import fit_factors
 from tallyloom.operators.planning import planning_aggregates
 from tallyloom.operators.psi import feature_psi, psi_report
@@ -288,6 +289,14 @@ def brand_country_store_factors(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(fit_factors(retail.panel(spark, sf)))
 
 
+@query
+def cold_start(spark: SparkSession, sf: str) -> DataFrame:
+    """Every store-day by months since opening: its cluster's mature mean, a 70/30 blend, or
+    its own mean of earlier months; clusters are the store cluster keys (tier, location)."""
+    clusters = retail.store_dim(spark, sf).select("store_id", store_cluster_key().alias("cluster"))
+    return tidy(cold_start_forecasts(retail.panel(spark, sf), clusters))
+
+
 @query
 def accuracy_metrics(spark: SparkSession, sf: str) -> DataFrame:
     y, p = F.col("sales_amount"), F.col("prediction")

@@ -7,6 +7,7 @@ ones a query needs in front of it.
 from __future__ import annotations
 
 from tallyloom.operators.drift import ADVICE
+from tallyloom.operators.coldstart import BLEND_CLUSTER, CLUSTER_MONTHS, LOCAL_MONTHS
 from tallyloom.operators.factors import ROUNDS
 from tallyloom.plans.catalog import DRIFT_CASES, EXACT, FORECAST_MODEL, HORIZON, REGION_DAYS
 from tallyloom.settings import FUTURE_EXTERNALS, LAGS, WINDOWS
@@ -625,6 +626,35 @@ ORACLE: dict[str, str] = {
         "panel",
     ),
     "brand_country_store_factors": _sql(", " + _factors(), "panel"),
+    "cold_start": _sql(
+        f""", opened as (select store_id, min(date) as o from panel group by store_id),
+           rows as (select p.store_id, p.date, p.sales_amount, d.tier || '_' || d.location_type as cluster,
+               (year(p.date) * 12 + month(p.date)) - (year(o.o) * 12 + month(o.o))
+                 - case when day(p.date) < day(o.o) then 1 else 0 end as months_open,
+               date_trunc('month', p.date)::date as mo
+             from panel p left join opened o using (store_id) left join store_dim d using (store_id)),
+           mature as (select cluster, avg(sales_amount) as cluster_mean from rows
+             where months_open >= {LOCAL_MONTHS} group by cluster),
+           monthly as (select store_id, mo, sum(sales_amount) as s, count(sales_amount) as n
+             from rows where mo is not null group by store_id, mo),
+           local as (select store_id, mo, sum(s) over w / sum(n) over w as local_mean from monthly
+             window w as (partition by store_id order by mo rows between unbounded preceding and 1 preceding)),
+           phased as (select r.*, m.cluster_mean, l.local_mean,
+               case when months_open is null then null when months_open < {CLUSTER_MONTHS} then 'cluster'
+                 when months_open < {LOCAL_MONTHS} then 'blend' else 'local' end as phase
+             from rows r left join mature m on r.cluster is not distinct from m.cluster
+             left join local l on r.store_id = l.store_id and r.mo = l.mo),
+           weighted as (select *, case phase when 'cluster' then 1.0 when 'blend' then {BLEND_CLUSTER}
+               when 'local' then 0.0 end::double as cluster_weight from phased)
+         select store_id, date, {r('sales_amount', 'sales_amount')}, cluster, cast(months_open as bigint) as months_open,
+           phase, {r('cluster_mean', 'cluster_mean')}, {r('local_mean', 'local_mean')},
+           {r('cluster_weight', 'cluster_weight')},
+           {r("""case when phase is null then null when cluster_mean is null then local_mean
+             when local_mean is null then cluster_mean
+             else cluster_weight * cluster_mean + (1 - cluster_weight) * local_mean end""", 'prediction')}
+         from weighted""",
+        "panel", "store_dim",
+    ),
     "accuracy_metrics": _sql(
         f"""select split, {_accuracy('prediction', '', 'sales_amount > 1')},
               count(*) filter (where sales_amount > 1) as valid_rows from scored group by split""",

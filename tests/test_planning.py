@@ -88,3 +88,29 @@ def test_factors_of_nothing(spark):
 
     df = spark.createDataFrame([], "brand_id string, country string, store_id long, sales_amount double")
     assert fit_factors(df, rounds=2).collect() == []
+
+
+def test_cold_start_phases_on_boundary_days(spark):
+    from tallyloom.operators.coldstart import cold_start_forecasts
+
+    d = dt.date
+    sales = [
+        (1, d(2024, 1, 31), 10.0), (1, d(2024, 4, 30), 20.0), (1, d(2024, 5, 1), 30.0),
+        (1, d(2024, 7, 30), 40.0), (1, d(2024, 7, 31), 50.0),
+        (2, d(2023, 1, 1), 100.0), (2, d(2024, 1, 1), 200.0), (3, None, 5.0),
+    ]
+    df = spark.createDataFrame(sales, "store_id long, date date, sales_amount double")
+    clusters = spark.createDataFrame([(1, "a"), (2, "a")], "store_id long, cluster string")
+    found = {(r.store_id, r.date): r for r in cold_start_forecasts(df, clusters).collect()}
+    phases = [(found[(1, day)].months_open, found[(1, day)].phase) for day in
+              (d(2024, 1, 31), d(2024, 4, 30), d(2024, 5, 1), d(2024, 7, 30), d(2024, 7, 31))]
+    assert phases == [(0, "cluster"), (2, "cluster"), (3, "blend"), (5, "blend"), (6, "local")]
+    # the cluster's mature days: store 2 after 12 months, and store 1 on 31 July
+    first = found[(1, d(2024, 1, 31))]
+    assert first.cluster_mean == 125.0 and first.local_mean is None and first.prediction == 125.0
+    blend = found[(1, d(2024, 5, 1))]  # earlier months: January 10, April 20
+    assert blend.local_mean == 15.0 and abs(blend.prediction - (0.7 * 125.0 + 0.3 * 15.0)) < 1e-9
+    late = found[(1, d(2024, 7, 31))]  # January, April, May
+    assert late.cluster_weight == 0.0 and late.prediction == 20.0
+    none = found[(3, None)]
+    assert none.phase is None and none.prediction is None and none.cluster is None
