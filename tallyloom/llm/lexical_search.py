@@ -152,9 +152,11 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     # update rounds: the remaining terms only add to the accumulators that exist
     remaining = asked.join(stopped, "item_id").where(F.col("r") >= F.col("stop")).select("item_id", "term", "w")
     survivors = accumulators.select("item_id", "row")
+    # a survivor meets only its item's remaining terms, then looks up (row, term) in the
+    # postings: survivors x query terms, never survivors x all terms of their documents
     updates = (
-        survivors.join(listed.select("row", "term", "part"), "row")
-        .join(remaining, ["item_id", "term"])
+        survivors.join(remaining, "item_id")
+        .join(listed.select("row", "term", "part"), ["row", "term"])
         .select("item_id", "row", (F.col("w") * F.col("part")).alias("score"))
     )
     updated = updates.groupBy("item_id", "row").agg(F.sum("score").alias("more"))
