@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import psi_severity
-from tallyloom.operators.quantiles import exact_quantiles, long_values
+from tallyloom.operators.quantiles import exact_quantiles, feature_names, long_values
 from tallyloom.sources.staging import stage
 from tallyloom.settings import PSI_BINS, PSI_EPSILON, PSI_MISSING_SHARE, DriftSettings
 
@@ -34,7 +34,9 @@ def feature_psi(
     tagged = df.withColumn("__baseline", baseline)
     quantiles = exact_quantiles(tagged.filter("__baseline"), features, [i / bins for i in range(bins + 1)])
     first_bin = sum(((F.col(f"q{i}") <= F.col("q0")).cast("int") for i in range(bins + 1)), F.lit(0))
-    edges = stage(quantiles.withColumn("first_bin", first_bin), "psi-edges")
+    place = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature")) - 1
+    placed_edges = quantiles.withColumns({"first_bin": first_bin, "feature": place.cast("int")})
+    edges = stage(placed_edges, "psi-edges")
     names = [f"q{i}" for i in range(bins + 1)]
     # One row per feature, bounded by the schema.
     values = long_values(tagged, features, ["__baseline"]).join(F.broadcast(edges), "feature")
@@ -71,7 +73,7 @@ def feature_psi(
         defined = defined & (F.col("missing") == 0)
     elif null_policy != "ignore":
         raise ValueError(f"null_policy must be 'strict' or 'ignore', not {null_policy!r}")
-    return joined.select("feature", F.when(defined, total).otherwise(F.lit(0.0)).alias("psi"))
+    return joined.select(feature_names(features).alias("feature"), F.when(defined, total).otherwise(F.lit(0.0)).alias("psi"))
 
 
 def psi_report(psi: DataFrame, settings: DriftSettings = DriftSettings()) -> DataFrame:

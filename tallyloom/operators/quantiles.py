@@ -1,8 +1,11 @@
-"""Exact quantiles of many columns with bounded memory.
-
-Values are counted per column (combined before the shuffle), dealt once into ranges of (column,
-value) and written. The rows per range tell which ranges hold a wanted rank; only these are read
-again and ranked, each range in a task of its own. One path for every size, exact at any.
+"""Exact quantiles of many columns with bounded memory and a small shuffle.
+
+Counts in equal-width buckets (combined before the shuffle, at most ``BUCKETS`` rows per column and
+task) tell which buckets hold a wanted rank; these are cut again between their own least and largest
+value while they hold many rows. Only values of the buckets that are left are counted one by one,
+dealt into ranges of (column, bucket, value) and ranked, each range in a task of its own. Values in
+other buckets are read but never shuffled. A bucket that cannot be cut (infinite ends, more rounds
+than ``ROUNDS``) is ranked whole, so the result is exact for any values.
 """
 
 from __future__ import annotations
@@ -15,74 +18,146 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.staging import stage
 
+BUCKETS, ROUNDS = 1024, 4
+#: buckets of wanted ranks are cut again while they hold more than this share of the values, and more rows
+SMALL_SHARE, FEW_ROWS = 0.05, 1_000_000
+
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, value) with one row per column and known value."""
-    typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = typed.unpivot(list(keep), list(columns), "feature", "value")
+    """(keep..., feature, value) with one row per column and known value; ``feature`` is the place
+    of the column in ``columns``.
+
+    The columns go through one array: a projection per column makes a loop that Java does not compile.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    long = df.select(*keep, F.posexplode(values).alias("feature", "value"))
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def feature_names(columns: Sequence[str]) -> Column:
+    """The name of the column at place ``feature``."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("feature") + 1)
+
+
 def _known_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, n, missing): known and missing values, one row per column."""
+    """(feature, n, missing, lo, hi): known and missing values and their ends, one row per column."""
 
-    def entry(c: str) -> Column:
+    def entry(i: int, c: str) -> Column:
         value = F.col(c).cast("double")
-        known = F.count(F.when(~F.isnan(value), value))
-        return F.struct(F.lit(c).alias("feature"), known.alias("n"), (F.count(F.lit(1)) - known).alias("missing"))
-
-    counts = df.agg(*[entry(c).alias(f"__{i}") for i, c in enumerate(columns)])
+        value = F.when(~F.isnan(value), value)
+        return F.struct(
+            F.lit(i).alias("feature"),
+            F.count(value).alias("n"),
+            (F.count(F.lit(1)) - F.count(value)).alias("missing"),
+            F.min(value).alias("lo"),
+            F.max(value).alias("hi"),
+        )
+
+    counts = df.agg(*[entry(i, c).alias(f"__{i}") for i, c in enumerate(columns)])
     return counts.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
 
 
+def _inside(bucket: Column) -> Column:
+    """Place of ``value`` among ``BUCKETS`` equal parts of lo to hi, never falling with the value.
+    Everything is in the first part where the width is 0 or not finite."""
+    share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
+    part = F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * BUCKETS)
+    return bucket * BUCKETS + F.least(F.greatest(part, F.lit(0)), F.lit(BUCKETS - 1))
+
+
+def _held(sizes: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Every wanted rank with the bucket that holds it, counted from the start of that bucket.
+
+    ``sizes`` has at most ``BUCKETS`` rows per feature and wanted rank.
+    """
+    upto = W.partitionBy("feature", "parent").orderBy("bucket")
+    placed = sizes.withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
+    held = placed.join(F.broadcast(ranks), ["feature", "parent"]).filter(
+        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
+    )
+    rank = (F.col("rank") - F.col("before")).alias("rank")
+    return held.select("feature", "number", "upper", "weight", rank, F.col("bucket").alias("parent"), "rows", "lo", "hi")
+
+
+def _in_buckets(df: DataFrame, columns: Sequence[str], path: Sequence[DataFrame]) -> DataFrame:
+    """(feature, parent, lo, hi, value) of the values in the chosen buckets of every round so far."""
+    values = long_values(df, columns).join(F.broadcast(path[0]), "feature")
+    for chosen in path[1:]:
+        values = values.select("feature", _inside(F.col("parent")).alias("parent"), "value")
+        values = values.join(F.broadcast(chosen), ["feature", "parent"])
+    return values
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Table (feature, n, missing, q0, q1, ...) with linear interpolation between ranks.
 
-    Quantiles are over known values and NULL for a column without any. The two passes over
-    ``df`` run at once, each into a staged table; the result is read from these.
+    Quantiles are over known values and NULL for a column without any. ``df`` is read once for
+    the counts, once per round of buckets (one as a rule, more for long tails) and once for the values.
     """
     known = stage(_known_counts(df, columns), "known-counts")
-    counted = long_values(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("times"))
+    whole = known.filter("n > 0").select("feature", F.lit(0).cast("long").alias("parent"), "lo", "hi")
+    ranks = _wanted_ranks(known, probabilities).withColumn("parent", F.lit(0).cast("long"))
+    values = known.agg(F.sum("n")).first()[0] or 0
+    path = [whole]
+    for _ in range(ROUNDS):
+        buckets = _in_buckets(df, columns, path).groupBy(
+            "feature", "parent", _inside(F.col("parent")).alias("bucket")
+        )
+        sizes = buckets.agg(
+            F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        )
+        # two rows per probability and feature
+        held = stage(_held(sizes, ranks), "bucket-ranks")
+        ranks = held.drop("rows", "lo", "hi")
+        chosen = held.select("feature", "parent", "lo", "hi", "rows").distinct()
+        path.append(chosen.drop("rows"))
+        left = chosen.filter("lo < hi").agg(F.sum("rows")).first()[0] or 0
+        if left <= max(FEW_ROWS, SMALL_SHARE * values):
+            break
+    counted = _in_buckets(df, columns, path).groupBy("feature", "parent", "value").agg(F.count(F.lit(1)).alias("times"))
     ranged = stage(
-        counted.repartitionByRange("feature", "value").withColumn("range", F.spark_partition_id()), "value-counts"
+        counted.repartitionByRange("feature", "parent", "value").withColumn("range", F.spark_partition_id()),
+        "value-counts",
     )
-    upto_range = W.partitionBy("feature").orderBy("range")  # one row per range and feature
+    bucket = ["feature", "parent"]
+    upto_range = W.partitionBy(*bucket).orderBy("range")  # one row per range and bucket
     sizes = (
-        ranged.groupBy("feature", "range")
+        ranged.groupBy(*bucket, "range")
         .agg(F.sum("times").alias("rows"))
         .withColumn("before", F.sum("rows").over(upto_range) - F.col("rows"))
     )
-    # two rows per probability and feature
-    wanted = F.broadcast(_wanted_ranks(known, probabilities))
+    wanted = F.broadcast(ranks)
     held = (
-        sizes.join(wanted, "feature")
+        sizes.join(wanted, bucket)
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .select("feature", "range", "before", "number", "position", "rank")
+        .select(*bucket, "range", "before", "number", "upper", "weight", "rank")
     )
-    chosen = held.select("feature", "range", "before").distinct()
-    upto = W.partitionBy("feature", "range").orderBy("value")
-    ranked = ranged.join(F.broadcast(chosen), ["feature", "range"]).withColumn(
+    chosen = held.select(*bucket, "range", "before").distinct()
+    upto = W.partitionBy(*bucket, "range").orderBy("value")
+    ranked = ranged.join(F.broadcast(chosen), [*bucket, "range"]).withColumn(
         "last", F.col("before") + F.sum("times").over(upto)
     )
-    hits = ranked.drop("before").join(F.broadcast(held), ["feature", "range"]).filter(
+    hits = ranked.drop("before").join(F.broadcast(held), [*bucket, "range"]).filter(
         (F.col("rank") >= F.col("last") - F.col("times")) & (F.col("rank") < F.col("last"))
     )
-    ends = hits.groupBy("feature", "number", "position").agg(
-        F.min(F.struct("rank", "value")).alias("lo"), F.max(F.struct("rank", "value")).alias("hi")
+    ends = hits.groupBy("feature", "number", "weight").agg(
+        F.min(F.struct("upper", "value")).alias("lo"), F.max(F.struct("upper", "value")).alias("hi")
     )
     low, high = F.col("lo.value"), F.col("hi.value")
-    value = low + (high - low) * (F.col("position") - F.col("lo.rank"))
+    value = low + (high - low) * F.col("weight")
     exact = ends.groupBy("feature").agg(
         *[F.max(F.when(F.col("number") == i, value)).alias(f"q{i}") for i in range(len(probabilities))]
     )
-    return known.join(F.broadcast(exact), "feature", "left")
+    joined = known.drop("lo", "hi").join(F.broadcast(exact), "feature", "left")
+    return joined.withColumn("feature", feature_names(columns))
 
 
 def _wanted_ranks(known: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Per feature and probability the position and the whole ranks around it."""
+    """Per feature and probability the whole ranks around its position and the weight of the upper one."""
     shares = F.array(*[F.lit(float(p)) for p in probabilities])
     placed = known.select("feature", F.posexplode(shares).alias("number", "share"), "n").withColumn(
         "position", F.col("share") * (F.col("n") - 1)
     )
     ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    return placed.select("feature", "number", "position", F.explode(ranks).alias("rank"))
+    weight = (F.col("position") - F.floor("position")).alias("weight")
+    return placed.select("feature", "number", weight, F.posexplode(ranks).alias("upper", "rank"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -207,3 +209,37 @@ def test_history_windows_equal_a_loop(spark):
                 expected = getattr(seen, stat)() if len(seen) else 0.0
                 got = row[f"sales_amount_rolling_{stat}_{n}d"]
                 assert (got is None and np.isnan(expected)) or got == pytest.approx(expected)
+
+
+def test_quantiles_shuffle_few_values(spark, monkeypatch):
+    """Long tails, ties, infinities and both zeros are exact, though few values are counted one by one."""
+    from tallyloom.operators import quantiles
+
+    rng, staged, real = np.random.default_rng(5), {}, quantiles.stage
+    n = 40_000
+    pdf = pd.DataFrame(
+        {
+            "even": rng.uniform(-3, 3, n), "tail": np.exp(rng.normal(0, 8, n)), "ties": rng.integers(0, 5, n) - 2.0,
+            "zero": np.where(rng.random(n) < 0.5, 0.0, -0.0), "huge": rng.choice([-1e308, 0.5, 1e308], n),
+            "ends": np.where(rng.random(n) < 0.1, np.inf, rng.normal(0, 1, n)),
+        }
+    )
+
+    def keep(df, name):
+        staged[name] = real(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(quantiles, "stage", keep)
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 1_000)
+    shares = [i / 10 for i in range(11)]
+    found = quantiles.exact_quantiles(spark.createDataFrame(pdf), list(pdf.columns), shares).toPandas().set_index("feature")
+    for c in pdf.columns:
+        ordered = np.sort(pdf[c].to_numpy())
+        for i, p in enumerate(shares):
+            at = p * (n - 1)
+            low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
+            want = low + (high - low) * (at - math.floor(at)) if low != high else low
+            got = found.loc[c, f"q{i}"]
+            assert got == want or (np.isnan(got) and np.isinf(low)), (c, p, got, want)
+    counted = dict(staged["value-counts"].groupBy("feature").count().collect())
+    assert counted[0] + counted[1] < n / 10
