@@ -4,8 +4,9 @@ Counts in equal-width buckets (combined before the shuffle, at most ``BUCKETS``
 task) tell which buckets hold a wanted rank; these are cut again between their own least and largest
 value while they hold many rows. Only values of the buckets that are left are counted one by one,
 dealt into ranges of (column, bucket, value) and ranked, each range in a task of its own. Values in
-other buckets are read but never shuffled. A bucket that cannot be cut (infinite ends, more rounds
-than ``ROUNDS``) is ranked whole, so the result is exact for any values.
+other buckets are read but never shuffled. A bucket that cannot be cut (infinite ends, or values over
+so many powers of ten that ``ROUNDS`` do not part them) is ranked whole, so the result is exact for
+any values; the shuffle is small for all others.
 """
 
 from __future__ import annotations

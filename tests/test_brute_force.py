@@ -219,7 +219,7 @@ def test_quantiles_shuffle_few_values(spark, monkeypatch):
     n = 40_000
     pdf = pd.DataFrame(
         {
-            "even": rng.uniform(-3, 3, n), "tail": np.exp(rng.normal(0, 8, n)), "ties": rng.integers(0, 5, n) - 2.0,
+            "even": rng.uniform(-3, 3, n), "tail": np.exp(rng.normal(0, 3, n)), "steep": np.exp(rng.normal(0, 8, n)), "ties": rng.integers(0, 5, n) - 2.0,
             "zero": np.where(rng.random(n) < 0.5, 0.0, -0.0), "huge": rng.choice([-1e308, 0.5, 1e308], n),
             "ends": np.where(rng.random(n) < 0.1, np.inf, rng.normal(0, 1, n)),
         }
