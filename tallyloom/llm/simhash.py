@@ -13,7 +13,9 @@ split exists: with three bits, two of them lie in the same half, so the target f
 and the probe the third. Probes and targets are shuffled on the variant and joined; pairs are
 deduplicated and verified by their distance (every meeting pair is within 1 + 2 = 3 by the
 triangle rule, so verification only confirms). Equal fingerprints are one node before the join,
-so a group of thousands of copies costs one probe set, not its pairs.
+so a group of thousands of copies costs one probe set, not its pairs. The masks of the targets are
+dealt to ``SLICES`` joins that run one after the other, each with all probes: together they meet
+the same pairs, and only the shuffle of one slice is on disk at a time.
 
 Components: connected over fingerprint links (large-star / small-star steps), then named by the
 smallest doc_id in them, itself included.
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.minhash_forest import components
+from tallyloom.sources.staging import stage
 
 # Fixed values of the contract: shingle length, hash seed (that of Spark's xxhash64), radius.
 SHINGLE = 3
@@ -44,6 +47,9 @@ SEED = 42
 RADIUS = 3
 BITS = 64
 
+#: joins one after the other, each with its part of the target masks; bounds the disk, not the result
+SLICES = 6
+
 _TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,18 +107,21 @@ def ball_links(nodes: DataFrame) -> DataFrame:
     probes = nodes.select(F.col("fingerprint").alias("a"), F.explode(F.array(*map(F.lit, PROBES))).alias("_m")).select(
         "a", F.col("a").bitwiseXOR(F.col("_m")).alias("variant")
     )
-    targets = nodes.select(F.col("fingerprint").alias("b"), F.explode(F.array(*map(F.lit, TARGETS))).alias("_m")).select(
-        "b", F.col("b").bitwiseXOR(F.col("_m")).alias("variant")
-    )
-    met = probes.hint("merge").join(targets, "variant").where("a != b")
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
+    links = None
+    for i in range(SLICES):
+        masks = F.array(*map(F.lit, TARGETS[i::SLICES]))
+        targets = nodes.select(F.col("fingerprint").alias("b"), F.explode(masks).alias("_m")).select(
+            "b", F.col("b").bitwiseXOR(F.col("_m")).alias("variant")
+        )
+        met = probes.hint("merge").join(targets, "variant").where("a != b")
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        near = stage(pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS), "simhash-links")
+        links = near if links is None else links.unionAll(near)
+    return links.distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (hex), component_id per row of ``docs``."""
-    from tallyloom.sources.staging import stage
-
     printed = stage(fingerprints(docs), "simhash-prints")
     nodes = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
     nodes = stage(nodes, "simhash-nodes")

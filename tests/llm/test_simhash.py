@@ -87,3 +87,10 @@ def test_edges_equal_brute_force(spark):
 def test_zero_fingerprint_links_like_any_other(spark):
     out = dict((d, (f, c)) for d, f, c in ours(spark, [(3, None), (4, ""), (5, "\t")]))
     assert out == {3: ("0" * 16, 3), 4: ("0" * 16, 3), 5: ("0" * 16, 3)}
+
+
+def test_slices_hold_every_target_mask_once():
+    dealt = [m for i in range(simhash.SLICES) for m in simhash.TARGETS[i :: simhash.SLICES]]
+    assert sorted(dealt) == sorted(simhash.TARGETS)
+    # a slice shuffles a bounded part of all targets
+    assert max(len(simhash.TARGETS[i :: simhash.SLICES]) for i in range(simhash.SLICES)) < len(simhash.TARGETS) / 4
