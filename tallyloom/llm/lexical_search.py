@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.sources.staging import stage
+from tallyloom.sources.staging import forget, stage
 
 # Fixed values of the contract: the term pattern and the constants of the score.
 TERM_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -60,19 +60,6 @@ def _sized(df: DataFrame, limit: int = FEW_QUERY_TERMS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def _forget(staged: DataFrame | None) -> None:
-    """Delete a staged table that no later plan reads, through the file system of its path."""
-    if staged is None:
-        return
-    files = staged.inputFiles()
-    if not files:
-        return
-    spark = staged.sparkSession
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def _top(scored: DataFrame, key: str, k: int) -> DataFrame:
     """The k best rows of every ``key`` by score, doc_id (NULL last), row; in two levels."""
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")]
@@ -132,7 +119,7 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
             made = made.unionByName(accumulators)
         older = accumulators
         accumulators = stage(made.groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score")), "search-accumulators")
-        _forget(older)
+        forget(older)
         kth = _top(accumulators, "item_id", top).where(F.col("rank") == top).select("item_id", F.col("score").alias("kth"))
         rest = asked.where(F.col("r") == hi + 1).select("item_id", "rest")
         still = items if stopped is None else items.join(stopped, "item_id", "left_anti")
@@ -142,7 +129,7 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         ).select("item_id", F.lit(hi + 1).alias("stop"))
         older = stopped
         stopped = stage(newly if stopped is None else stopped.unionByName(newly), "search-stopped")
-        _forget(older)
+        forget(older)
         if stopped.count() == n_items:
             break
         lo = hi + 1
