@@ -70,24 +70,25 @@ def _top(scored: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
-    """Postings of the query terms (row, doc_id, term, tf, part), term statistics, N and L.
+    """Postings of the query terms (row, doc_id, no, part), term statistics, N and L.
 
+    ``no`` stands for the term: postings hold numbers, the statistics hold the text as well.
     ``part`` is a term's fraction in the document, (10**9 tf) div (1000 tf + 8 m).
     """
     terms = terms_of(F.col("text"))
     stats = docs.agg(F.count(F.when(F.size(terms) > 0, 1)).alias("N"), F.coalesce(F.sum(F.size(terms)), F.lit(0)).alias("L")).first()
     big_n, big_l = int(stats["N"]), int(stats["L"])
     wanted = queries.select(F.explode(terms_of(F.col("text"))).alias("term")).distinct()
-    wanted = stage(wanted, "search-query-terms")
+    wanted = stage(wanted.withColumn("no", F.monotonically_increasing_id()), "search-query-terms")
     parsed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", terms.alias("terms"))
     parsed = parsed.select("row", "doc_id", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    found = parsed.join(_sized(wanted), "term", "left_semi")
-    counted = found.groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
+    found = parsed.join(_sized(wanted), "term").drop("term")
+    counted = found.groupBy("row", "doc_id", "n", "no").agg(F.count(F.lit(1)).alias("tf"))
     m = F.lit(LENGTH_BASE - LENGTH_SHARE) + F.expr(f"({LENGTH_SHARE}L * n * {big_n}L) div {max(big_l, 1)}L")
     part = F.expr(f"({TF_SCALE}L * tf) div ({TF_WEIGHT} * tf + {LENGTH_WEIGHT} * m)")
-    listed = stage(counted.withColumn("m", m).withColumn("part", part).drop("n", "m"), "search-postings")
+    listed = stage(counted.withColumn("m", m).withColumn("part", part).drop("n", "m", "tf"), "search-postings")
     ratio = (F.lit(2.0 * big_n + 2.0)) / (F.lit(2.0) * F.col("df") + F.lit(1.0))
-    terms = listed.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("most"))
+    terms = listed.groupBy("no").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("most")).join(wanted, "no")
     terms = terms.withColumn("w", F.floor(F.lit(float(WEIGHT_SCALE)) * F.log(ratio)).cast("long"))
     return listed, stage(terms.withColumn("bound", F.col("w") * F.col("most")), "search-term-stats"), big_n, big_l
 
@@ -98,7 +99,7 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     asked = queries.select("item_id", F.explode(terms_of(F.col("text"))).alias("term")).distinct()
     ranked = Window.partitionBy("item_id").orderBy("df", "term")
     after = ranked.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    asked = asked.join(terms.select("term", "df", "w", "bound"), "term").withColumn("r", F.row_number().over(ranked))
+    asked = asked.join(terms.select("term", "no", "df", "w", "bound"), "term").withColumn("r", F.row_number().over(ranked))
     asked = stage(asked.withColumn("rest", F.sum("bound").over(after)), "search-asked")
     deepest = asked.agg(F.max("r")).first()[0] or 0
     items = stage(asked.select("item_id").distinct(), "search-items")
@@ -113,8 +114,8 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         block = asked.where(F.col("r").between(lo, hi))
         if stopped is not None:
             block = block.join(stopped, "item_id", "left_anti")
-        block = block.select("item_id", "term", "w")
-        made = listed.join(_sized(block), "term").select("item_id", "row", "doc_id", (F.col("w") * F.col("part")).alias("score"))
+        block = block.select("item_id", "no", "w")
+        made = listed.join(_sized(block), "no").select("item_id", "row", "doc_id", (F.col("w") * F.col("part")).alias("score"))
         if accumulators is not None:
             made = made.unionByName(accumulators)
         older = accumulators
@@ -136,12 +137,13 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
 
     if accumulators is None:
         return queries.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    # update rounds: the remaining terms only add to the accumulators that exist
-    remaining = asked.join(stopped, "item_id").where(F.col("r") >= F.col("stop")).select("item_id", "term", "w")
+    # update rounds: the remaining terms only add to the accumulators that exist. A survivor meets all
+    # postings of its document; the remaining terms are looked up where that is, before any shuffle.
+    remaining = asked.join(stopped, "item_id").where(F.col("r") >= F.col("stop")).select("item_id", "no", "w")
     survivors = accumulators.select("item_id", "row")
     updates = (
-        survivors.join(listed.select("row", "term", "part"), "row")
-        .join(remaining, ["item_id", "term"])
+        survivors.join(listed.select("row", "no", "part"), "row")
+        .join(_sized(remaining), ["item_id", "no"])
         .select("item_id", "row", (F.col("w") * F.col("part")).alias("score"))
     )
     updated = updates.groupBy("item_id", "row").agg(F.sum("score").alias("more"))

@@ -74,3 +74,17 @@ def test_query_equals_sql_on_sf001(spark):
     sf = "/root/testdata/sf0.01"
     got = rows_of_spark(REGISTRY["op12_lexical_search"](spark, sf))
     assert differences(got, rows_of_duck(duck(sf), ORACLE["op12_lexical_search"])) == []
+
+
+def test_updates_meet_the_remaining_terms_before_a_shuffle(spark, tiny_rows):
+    """Survivors x postings of their documents are many rows: never dealt by item and term."""
+    docs = spark.createDataFrame(tiny_rows, "doc_id long, text string")
+    queries = spark.createDataFrame([(i, t[:300]) for i, (_, t) in enumerate(tiny_rows[:20]) if t], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ls.search(docs, queries)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(item_id#\d+L, row#\d+L", plan)
+    assert not re.search(r"hashpartitioning\(item_id#\d+L, (term|no)#", plan)
