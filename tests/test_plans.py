@@ -13,6 +13,7 @@ from tallyloom.operators.health import store_health
 from tallyloom.operators.panel import future_spine, last_date
 from tallyloom.operators.windows import calendar_window_features, window_features
 from tallyloom.plans import retail
+from tallyloom.plans.catalog import REGISTRY
 from tallyloom.plans.features import build_features
 
 
@@ -78,3 +79,17 @@ def test_panel_sums_lines_before_it_joins(spark, tiny, capsys):
     lines = plan.index("lineitem.parquet")
     assert plan.index("Join") < plan.index("HashAggregate") < lines  # printed top down
     assert "l_tax" not in plan and "l_comment" not in plan
+
+
+def test_feature_table_runs_compiled(spark, tiny):
+    """The JVM compiles no method of more than 8,000 bytes; one row of a larger one is interpreted."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = REGISTRY["feature_table"](spark, tiny)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    parts = debug.codegenStringSeq(plan)
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert sizes and max(sizes) < 8000
