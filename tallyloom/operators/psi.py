@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import psi_severity
-from tallyloom.operators.quantiles import exact_quantiles, feature_names, long_values
+from tallyloom.operators.quantiles import exact_quantiles, feature_names, packed_values, value_blocks
 from tallyloom.sources.staging import stage
 from tallyloom.settings import PSI_BINS, PSI_EPSILON, PSI_MISSING_SHARE, DriftSettings
 
@@ -38,13 +40,8 @@ def feature_psi(
     placed_edges = quantiles.withColumns({"first_bin": first_bin, "feature": place.cast("int")})
     edges = stage(placed_edges, "psi-edges")
     names = [f"q{i}" for i in range(bins + 1)]
-    # One row per feature, bounded by the schema.
-    values = long_values(tagged, features, ["__baseline"]).join(F.broadcast(edges), "feature")
     low, high = F.col(names[0]), F.col(names[-1])
-    value = F.col("value")
-    below = sum(((value > F.col(n)).cast("int") for n in names), F.lit(0))
-    placed = values.filter(value.between(low, high)).withColumn("__bin", F.greatest(below, F.col("first_bin")))
-    by_bin = placed.groupBy("feature", "__baseline", "__bin").agg(F.count(F.lit(1)).alias("rows"))
+    by_bin = _bin_counts(tagged, features, edges, names)
     is_base, rows = F.col("__baseline"), F.col("rows")
 
     def rows_of(side: Column, where: Column) -> Column:
@@ -76,6 +73,37 @@ def feature_psi(
     return joined.select(feature_names(features).alias("feature"), F.when(defined, total).otherwise(F.lit(0.0)).alias("psi"))
 
 
+def _bin_counts(tagged: DataFrame, features: Sequence[str], edges: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(feature, __baseline, __bin, rows) of the values between the first and the last edge, counted
+    where they are: a task returns one row per feature, part and bin."""
+    width, bins = len(features), len(names) - 1
+    # one row per feature, bounded by the schema
+    cuts = {r["feature"]: ([r[n] for n in names], r["first_bin"]) for r in edges.collect() if r["n"]}
+
+    def run(batches):
+        counts = np.zeros((width, 3, bins + 2), np.int64)
+        for block, held in value_blocks(batches, width):
+            part = np.concatenate([b.column("part").to_numpy() for b in held])
+            for i, (at, first) in cuts.items():
+                values = block[i]
+                # NaN is above all numbers here, as in Spark: infinite ends have it as an edge
+                kept = (values >= at[0]) & (values <= (np.inf if np.isnan(at[-1]) else at[-1]))
+                below = np.zeros(len(values), np.int8 if bins < 100 else np.int32)
+                for edge in at:
+                    below += values > edge
+                place = np.maximum(below, first).astype(np.int64) + part * np.int64(bins + 2)
+                counts[i] += np.bincount(place[kept], minlength=3 * (bins + 2)).reshape(3, -1)
+        feature, side, number = np.nonzero(counts[:, :2])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(feature.astype(np.int32)), pa.array(side == 1), pa.array(number.astype(np.int32)), pa.array(counts[feature, side, number])],
+            names=["feature", "__baseline", "__bin", "rows"],
+        )
+
+    part = F.coalesce(F.col("__baseline").cast("int"), F.lit(2)).alias("part")  # 2: neither
+    counted = tagged.select(part, packed_values(features)).mapInArrow(run, "feature int, __baseline boolean, __bin int, rows long")
+    return counted.groupBy("feature", "__baseline", "__bin").agg(F.sum("rows").alias("rows"))
+
+
 def psi_report(psi: DataFrame, settings: DriftSettings = DriftSettings()) -> DataFrame:
     """Add drift_detected and severity to a (feature, psi) table."""
     return psi.withColumns(

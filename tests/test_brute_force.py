@@ -243,3 +243,40 @@ def test_quantiles_shuffle_few_values(spark, monkeypatch):
             assert got == want or (np.isnan(got) and np.isinf(low)), (c, p, got, want)
     counted = dict(staged["value-counts"].groupBy("feature").count().collect())
     assert counted[0] + counted[1] < n / 10
+
+
+def test_stability_reads_its_rows_three_times_without_a_row_per_value(spark, monkeypatch):
+    """Rows with a value per line, joined to the edges of their feature, cost most of the time on large tables."""
+    from tallyloom.operators import psi, quantiles
+
+    rng, n = np.random.default_rng(8), 6_000
+    pdf = pd.DataFrame({"a": rng.gamma(1, 60, n), "year": rng.integers(1990, 2000, n).astype(float), "base": np.arange(n) < 4_000})
+    pdf.loc[::7, "a"] = np.nan
+    reads, real = [], quantiles.packed_values
+    for module in (psi, quantiles):
+        monkeypatch.setattr(module, "packed_values", lambda columns: reads.append(columns) or real(columns))
+    monkeypatch.setattr(quantiles, "BLOCK", 500)
+    monkeypatch.setattr(quantiles, "KEPT", 100)  # tasks return their counts several times
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 1_500)
+    found = psi.feature_psi(spark.createDataFrame(pdf), ["a", "year"], F.col("base"), null_policy="ignore")
+    got = {r.feature: r.psi for r in found.collect()}
+    assert len(reads) == 3
+    for c in ("a", "year"):
+        known = pdf[pdf[c].notna()]
+        want = psi_by_hand(known.loc[known["base"], c].to_numpy(), known.loc[~known["base"], c].to_numpy())
+        assert got[c] == pytest.approx(want, abs=1e-9)
+
+
+def test_quantiles_of_values_that_differ_in_their_last_bits(spark, monkeypatch):
+    from tallyloom.operators import quantiles
+
+    rng = np.random.default_rng(9)
+    x = np.nextafter(1e6, 2e6) + np.spacing(1e6) * rng.integers(0, 30_000, 20_000)
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 100)
+    found = quantiles.exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": x, "y": -x})), ["x", "y"], [0.25, 0.5]).toPandas().set_index("feature")
+    ordered = np.sort(x)
+    for c, s in (("x", ordered), ("y", np.sort(-x))):
+        for i, p in enumerate((0.25, 0.5)):
+            at = p * (len(x) - 1)
+            low, high = s[math.floor(at)], s[math.ceil(at)]
+            assert found.loc[c, f"q{i}"] == low + (high - low) * (at - math.floor(at))
